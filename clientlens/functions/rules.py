@@ -83,13 +83,17 @@ def priority(seg: Column) -> Column:
 
 
 def expected_revenue(base: Column, total_value: Column, t: RevenueTiers = RevenueTiers()) -> Column:
-    """Base revenue scaled by the client's total; fractions are cut off, not rounded."""
+    """Base revenue scaled by the client's total; fractions are cut off, not rounded.
+
+    A total that is not a number is in no tier. (Spark orders NaN above all numbers.)
+    """
 
     def scaled(factor: float) -> Column:
         return (base * F.lit(factor)).cast("bigint")
 
     return (
-        F.when(total_value > t.top_above, scaled(t.top_factor))
+        F.when(F.isnan(total_value), base.cast("bigint"))
+        .when(total_value > t.top_above, scaled(t.top_factor))
         .when(total_value > t.high_above, scaled(t.high_factor))
         .when(total_value < t.low_below, scaled(t.low_factor))
         .otherwise(base.cast("bigint"))

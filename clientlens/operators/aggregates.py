@@ -14,7 +14,7 @@ from ..functions import money
 def transactions_by_client(df: DataFrame) -> DataFrame:
     return df.groupBy("client_id").agg(
         F.count("*").alias("transaction_count"),
-        money.total(F.col("amount")).cast("double").alias("total_transaction_amount"),
+        money.total(F.col("amount")).alias("total_transaction_amount"),
         money.mean(F.col("amount")).alias("avg_transaction_amount"),
         F.max("amount").alias("max_transaction_amount"),
     )
@@ -38,7 +38,7 @@ def activities_by_client(df: DataFrame) -> DataFrame:
 def payments_by_client(df: DataFrame) -> DataFrame:
     return df.groupBy("client_id").agg(
         F.count("*").alias("payment_count"),
-        money.total(F.col("amount")).cast("double").alias("total_payment_amount"),
+        money.total(F.col("amount")).alias("total_payment_amount"),
     )
 
 
@@ -46,7 +46,7 @@ def portfolios_by_client(df: DataFrame) -> DataFrame:
     value = F.col("quantity") * F.col("current_price")
     return df.groupBy("client_id").agg(
         F.count("*").alias("portfolio_count"),
-        money.total(value).cast("double").alias("portfolio_value"),
+        money.total(value).alias("portfolio_value"),
     )
 
 

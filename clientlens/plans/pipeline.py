@@ -13,7 +13,7 @@ from ..operators.cleaning import to_cleaned
 from ..operators.dedup import dedup_entity
 from ..operators.maintenance import merged
 from ..operators.offers import offers_with_ids
-from ..operators.quality import is_broken, split_quality
+from ..operators.quality import broken_rows, flag_broken, valid_rows
 from ..operators.segmentation import combine_segments, latest_snapshot, segment_clients
 from ..schemas import DEDUPLICATED, ENTITIES, MARTS, Entity, Mart
 from ..sources import layers as io
@@ -77,26 +77,35 @@ def clean_layer(
 
     def load(entity: Entity) -> tuple[int, int]:
         raw = io.read_raw(spark, layers.raw(entity, processing_date), entity)
-        cleaned = to_cleaned(raw, entity, processing_date)
-        watched, seen = io.counted(cleaned, rejected=F.count_if(is_broken(entity)))
-        valid, _ = split_quality(watched, entity)
-        io.write_dated(valid, layers.cleaned(entity), processing_date)
+        flagged = flag_broken(to_cleaned(raw, entity, processing_date), entity)
+        watched, seen = io.counted(flagged, rejected=F.count_if("broken"))
+        io.write_dated(valid_rows(watched), layers.cleaned(entity), processing_date)
         metrics = seen.get
         if metrics["rejected"]:
-            _, broken = split_quality(cleaned, entity)
-            io.write_dated(broken, layers.quarantine(entity), processing_date)
+            # A second pass over the raw rows only when there is something to set aside.
+            io.write_dated(broken_rows(flagged, entity), layers.quarantine(entity), processing_date)
         return metrics["rows"] - metrics["rejected"], metrics["rejected"]
 
     return _each("clean", entities, lambda e: e.structured_table, load)
 
 
 def dedup_layer(
-    spark: SparkSession, layers: io.Layers, entities: Iterable[Entity] = tuple(DEDUPLICATED)
+    spark: SparkSession,
+    layers: io.Layers,
+    processing_date: str | None = None,
+    entities: Iterable[Entity] = tuple(DEDUPLICATED),
 ) -> list[Loaded]:
-    """Newest version of every record over all cleaned dates."""
+    """Newest version of every record of one cleaned date, or of all dates.
+
+    A date ingested from the beginning of the topics holds every record, so reading older
+    dates again would only repeat it. Leave the date out where each date holds what
+    arrived since the one before, as after the incremental ingest.
+    """
 
     def load(entity: Entity) -> tuple[int, int]:
         cleaned = io.read_cleaned(spark, layers.cleaned(entity), entity)
+        if processing_date is not None:
+            cleaned = cleaned.where(F.col("processing_date") == F.lit(processing_date).cast("date"))
         return io.write_full_refresh(dedup_entity(cleaned, entity), layers.structured(entity)), 0
 
     return _each("dedup", entities, lambda e: e.structured_table, load)
@@ -151,41 +160,59 @@ def compact(spark: SparkSession, layers: io.Layers, mart: Mart, month: int) -> i
 
     The merged rows go to a scratch table first, because a folder cannot be read while it
     is replaced; only then is the month overwritten. Rows keep the run date they came
-    with, or the newest one of their key where rows were added up. Range clustering
-    on the whole sort key splits a client with very many rows over several tasks.
+    with, or the newest one of their key where rows were added up.
+
+    Rows are placed by ranges of the sort key and then of all other columns, so a client
+    with very many rows is split over several tasks.
     """
     path = layers.mart(mart)
     rows = io.read_mart(spark, path, mart).where(F.col("yyyymm") == month).drop("yyyymm")
     order = ["run_date", *mart.sort_by]
     staged = scratch_path(spark, f"compact-{mart.name}")
-    merged(rows, mart).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(staged)
+    placed = merged(rows, mart).repartitionByRange(*order, *[c for c in mart.columns if c not in order])
+    placed.sortWithinPartitions(*order).write.parquet(staged)
     watched, seen = io.counted(spark.read.schema(rows.schema).parquet(staged))
     io.replace_month(watched.sortWithinPartitions(*order), path, month)
     return seen.get["rows"]
 
 
+# The marts that a run loads, and that are compacted after it.
+LOADED_MARTS = ("marketing_clients", "targeted_offers", "marketing_analytics_daily")
+
+
+def compact_layer(spark: SparkSession, layers: io.Layers, month: int) -> list[Loaded]:
+    marts = [MARTS[name] for name in LOADED_MARTS]
+    return _each("compact", marts, lambda m: m.name, lambda m: (compact(spark, layers, m, month), 0))
+
+
 def run_pipeline(
     spark: SparkSession,
     messages_of: Callable[[Entity], DataFrame],
     root: str,
     as_of: str,
     at: str | None = None,
+    compact_month: int | None = None,
 ) -> list[Loaded]:
     """All stages in dependency order for one date; running a date again replaces it.
 
     `messages_of` gives the message envelope of an entity, from files or from a topic.
-    A failed table ends the run after its stage, as later stages need it.
+    A failed table ends the run after its stage, as later stages need it. An empty one is
+    reported as not ok, but the run goes on. With `compact_month` the marts of that month
+    are merged and rewritten at the end.
     """
     layers = io.Layers(root)
     done: list[Loaded] = []
-    for stage in (
+    stages = [
         lambda: ingest(spark, messages_of, layers, as_of, at=at),
         lambda: clean_layer(spark, layers, as_of),
-        lambda: dedup_layer(spark, layers),
+        lambda: dedup_layer(spark, layers, as_of),
         lambda: segmentation_layer(spark, layers, as_of, at),
         lambda: mart_layer(spark, layers, as_of, at),
         lambda: analytics_layer(spark, layers, as_of, at),
-    ):
+    ]
+    if compact_month is not None:
+        stages.append(lambda: compact_layer(spark, layers, compact_month))
+    for stage in stages:
         done += stage()
         if any(line.error for line in done):
             break

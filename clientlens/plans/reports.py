@@ -22,8 +22,8 @@ def daily_segment_metrics(
         clients.groupBy(F.col("combined_segment").alias("segment"))
         .agg(
             F.count("*").alias("clients_count"),
-            money.total(F.col("total_value")).alias("total_revenue"),
-            money.mean(F.col("total_value")).alias("avg_revenue"),
+            money.decimal_total(F.col("total_value")).alias("total_revenue"),
+            money.decimal_mean(F.col("total_value")).alias("avg_revenue"),
         )
         .select(
             as_date(as_of).alias("analysis_date"),
@@ -43,8 +43,8 @@ def segment_summary(clients: DataFrame) -> DataFrame:
         clients.groupBy("combined_segment")
         .agg(
             F.count("*").alias("clients_count"),
-            money.total(F.col("total_value")).alias("total_value"),
-            money.mean(F.col("total_value")).alias("avg_value"),
+            money.decimal_total(F.col("total_value")).alias("total_value"),
+            money.decimal_mean(F.col("total_value")).alias("avg_value"),
             F.avg("activity_score").alias("avg_activity"),
         )
         .orderBy(F.col("total_value").desc_nulls_last(), F.col("combined_segment").asc_nulls_last())
@@ -59,8 +59,8 @@ def offers_by_type_and_segment(offers: DataFrame) -> DataFrame:
         offers.groupBy("offer_type", "combined_segment")
         .agg(
             F.count("*").alias("offers_count"),
-            money.total(F.col("expected_revenue")).alias("total_expected_revenue"),
-            money.mean(F.col("expected_revenue")).alias("avg_expected_revenue"),
+            money.decimal_total(F.col("expected_revenue")).alias("total_expected_revenue"),
+            money.decimal_mean(F.col("expected_revenue")).alias("avg_expected_revenue"),
             F.min("days_valid").alias("min_validity_days"),
             F.max("days_valid").alias("max_validity_days"),
         )
@@ -77,8 +77,8 @@ def top_clients(offers: DataFrame, limit: int = 10) -> DataFrame:
         offers.groupBy("client_id", "client_name", "combined_segment")
         .agg(
             F.count("*").alias("offers_count"),
-            money.total(F.col("expected_revenue")).alias("total_expected_revenue"),
-            money.mean(F.col("expected_revenue")).alias("avg_offer_value"),
+            money.decimal_total(F.col("expected_revenue")).alias("total_expected_revenue"),
+            money.decimal_mean(F.col("expected_revenue")).alias("avg_offer_value"),
         )
         .orderBy(
             F.col("total_expected_revenue").desc_nulls_last(), "client_id", "client_name", "combined_segment"
@@ -92,7 +92,7 @@ def priority_grid(offers: DataFrame) -> DataFrame:
         offers.groupBy("priority_level", "offer_priority")
         .agg(
             F.count("*").alias("offers_count"),
-            money.total(F.col("expected_revenue")).alias("total_revenue"),
+            money.decimal_total(F.col("expected_revenue")).alias("total_revenue"),
             F.avg("days_valid").alias("avg_validity"),
         )
         .orderBy(F.col("priority_level").asc_nulls_last(), F.col("offer_priority").asc_nulls_last())
@@ -104,8 +104,8 @@ def top_offer_types(offers: DataFrame, limit: int = 10) -> DataFrame:
         offers.groupBy("offer_type")
         .agg(
             F.count("*").alias("offers_count"),
-            money.total(F.col("expected_revenue")).alias("total_expected_revenue"),
-            money.mean(F.col("expected_revenue")).alias("avg_expected_revenue"),
+            money.decimal_total(F.col("expected_revenue")).alias("total_expected_revenue"),
+            money.decimal_mean(F.col("expected_revenue")).alias("avg_expected_revenue"),
         )
         .orderBy(F.col("total_expected_revenue").desc_nulls_last(), "offer_type")
         .limit(limit)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,6 +34,12 @@ AT_EARLIER = "2024-06-29 12:00:00"
 AT_NEXT_MONTH = "2024-07-01 12:00:00"
 
 
+def side_by_side(job, items) -> list:
+    """Run one independent Spark job per item from its own thread."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return list(pool.map(job, items))
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, for comparison with another engine."""
     return df.select(
@@ -102,11 +109,14 @@ def aggregate_one(name: str, spark: SparkSession, sf: str) -> DataFrame:
 def write_messages(spark: SparkSession, sf: str, names=tuple(ENTITIES), feed=None) -> str:
     """All entities as file-based topics in one folder."""
     path = scratch_path(spark, "messages")
-    for name in names:
+
+    def write(name: str) -> None:
         rows = spark_entity(spark, sf, name)
         if feed is not None:
             rows = feed(rows, ENTITIES[name])
         envelope.write_envelope(rows, path, ENTITIES[name].topic, AT)
+
+    side_by_side(write, names)
     return path
 
 
@@ -142,28 +152,32 @@ def send_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def layered_write(spark: SparkSession, sf: str) -> DataFrame:
     """Raw and cleaned writes of two dates, the second one twice; rows found per date."""
     layers = io.Layers(scratch_path(spark, "layers"))
-    found = []
-    for entity in ENTITIES.values():
+
+    def write(entity: Entity) -> DataFrame:
         rows = feeds.dirty(spark_entity(spark, sf, entity.name), entity)
         for day in (EARLIER, AS_OF, AS_OF):
             io.write_raw(envelope.with_lineage(rows, day, AT), layers.raw(entity, day))
             raw = io.read_raw(spark, layers.raw(entity, day), entity)
             io.write_cleaned(to_cleaned(raw, entity, day), layers.cleaned(entity), day)
-        found.append(
+        return (
             io.read_cleaned(spark, layers.cleaned(entity), entity)
             .groupBy("processing_date")
             .agg(F.count("*").alias("row_count"))
             .select(F.lit(entity.structured_table).alias("table_name"), "processing_date", "row_count")
         )
-    return reduce(DataFrame.unionByName, found)
+
+    return reduce(DataFrame.unionByName, side_by_side(write, ENTITIES.values()))
 
 
 def external_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaned layers seen through session views, counted per table."""
     layers = io.Layers(scratch_path(spark, "external"))
-    for entity in ENTITIES.values():
+
+    def write(entity: Entity) -> None:
         rows = to_cleaned(spark_entity(spark, sf, entity.name), entity, AS_OF)
         io.write_cleaned(rows, layers.cleaned(entity), AS_OF)
+
+    side_by_side(write, ENTITIES.values())
     catalog.create_views(spark, layers)
     return reports.table_counts({e.name: spark.table(f"ext_{e.structured_table}") for e in ENTITIES.values()})
 
