@@ -3,7 +3,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import rules
 from ..functions.ids import offer_id
@@ -65,9 +65,23 @@ OFFER_COLUMNS = [
 ]
 
 
-def template_table(spark, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
-    rows = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in t._asdict().items()]) for t in templates])
-    return spark.range(1).select(F.inline(rows))
+def templates_of(segment: Column, templates: Sequence[Template] = TEMPLATES) -> Column:
+    """Array of the templates of a segment, in order; the default segment's if it has none.
+
+    The arrays are constants of the plan, so the lookup needs no join.
+    """
+    by_segment: dict[str, list[Template]] = {}
+    for t in sorted(templates, key=lambda t: t.position):
+        by_segment.setdefault(t.combined_segment, []).append(t)
+
+    def constant(group: list[Template]) -> Column:
+        fields = Template._fields[1:]
+        return F.array(*[F.struct(*[F.lit(getattr(t, f)).alias(f) for f in fields]) for t in group])
+
+    found = F.when(F.lit(False), constant(by_segment[DEFAULT_SEGMENT]))
+    for name, group in by_segment.items():
+        found = found.when(segment == name, constant(group))
+    return found.otherwise(constant(by_segment[DEFAULT_SEGMENT]))
 
 
 def expand_offers(
@@ -77,18 +91,14 @@ def expand_offers(
     validity: rules.Validity = rules.Validity(),
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Every client x the templates of its combined segment; no shuffle.
+    """Every client x the templates of its combined segment, in template order; no shuffle.
 
-    A segment without templates takes those of the default segment and keeps its own
-    label. The template side is a list in the program, so broadcasting it is bounded.
+    A segment without templates takes those of the default segment and keeps its own label.
     """
-    known = sorted({t.combined_segment for t in templates})
-    lookup = F.when(F.col("combined_segment").isin(known), F.col("combined_segment")).otherwise(DEFAULT_SEGMENT)
-    table = template_table(clients.sparkSession, templates).withColumnRenamed("combined_segment", "template_segment")
     value = F.coalesce(F.col("total_value"), F.lit(0.0)).cast("double")
     return (
         clients.withColumn("total_portfolio_value", value)
-        .join(F.broadcast(table), lookup == F.col("template_segment"))
+        .select("*", F.inline(templates_of(F.col("combined_segment"), templates)))
         .withColumns(
             {
                 "expected_revenue": rules.expected_revenue(

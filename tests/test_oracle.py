@@ -1,0 +1,23 @@
+"""Every registered query against its SQL on the smallest tables."""
+
+import pytest
+
+import __spark_entry__ as entry
+from compare import connect, difference, duckdb_rows, spark_rows
+
+QUERIES = entry.queries()
+ORACLE = entry.oracle_sql()
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(name, spark, tiny):
+    con = connect(tiny)
+    assert difference(spark_rows(QUERIES[name](spark, tiny)), duckdb_rows(con, ORACLE[name])) is None
+
+
+def test_flagship_query(spark):
+    assert entry.entry(spark).count() == 150
