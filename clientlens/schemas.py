@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 _TYPES = {
+    "binary": T.BinaryType(),
     "string": T.StringType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
