@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,6 +19,7 @@ from ..operators.segmentation import combine_segments, latest_snapshot, segment_
 from ..schemas import DEDUPLICATED, ENTITIES, MARTS, Entity, Mart
 from ..sources import layers as io
 from ..sources.envelope import is_unreadable, parse_messages, with_lineage
+from ..sources.files import input_path, read_file
 from ..workspace import scratch_path
 from . import reports
 
@@ -40,6 +42,23 @@ LOAD_REPORT_DDL = (
 )
 
 
+def publish(
+    spark: SparkSession,
+    folder: str,
+    send: Callable[[DataFrame, Entity], None],
+    suffix: str = "csv",
+    entities: Iterable[Entity] = tuple(ENTITIES.values()),
+) -> list[Loaded]:
+    """Files of a folder -> messages. `send` writes one entity's rows to its topic."""
+
+    def load(entity: Entity) -> tuple[int, int]:
+        watched, seen = io.counted(read_file(spark, input_path(folder, entity, suffix), entity))
+        send(watched, entity)
+        return seen.get["rows"], 0
+
+    return _each("publish", entities, lambda e: e.topic, load)
+
+
 def ingest(
     spark: SparkSession,
     messages_of: Callable[[Entity], DataFrame],
@@ -111,19 +130,30 @@ def dedup_layer(
     return _each("dedup", entities, lambda e: e.structured_table, load)
 
 
+def run_stamp(as_of: str, at: str | None = None) -> str:
+    """Timestamp of the rows of a run: on its date, at the present time of day.
+
+    It lies on the run's date also when an older date is run again, so the rows land in
+    the month they were in before and replace them.
+    """
+    return at or f"{as_of} {datetime.now(UTC):%H:%M:%S}"
+
+
 def segmentation_layer(
-    spark: SparkSession, layers: io.Layers, as_of: str, created_at: str | None = None
+    spark: SparkSession, layers: io.Layers, as_of: str, at: str | None = None
 ) -> list[Loaded]:
+    stamp = run_stamp(as_of, at)
+
     def load(_) -> tuple[int, int]:
         tables = {e.name: io.read_structured(spark, layers.structured(e), e) for e in DEDUPLICATED}
-        return io.write_segmentation(segment_clients(tables, as_of, created_at), layers.segmentation), 0
+        return io.write_segmentation(segment_clients(tables, as_of, stamp), layers.segmentation), 0
 
     return _each("segment", ["client_segmentation"], str, load)
 
 
-def mart_layer(spark: SparkSession, layers: io.Layers, as_of: str, created_at: str | None = None) -> list[Loaded]:
+def mart_layer(spark: SparkSession, layers: io.Layers, as_of: str, at: str | None = None) -> list[Loaded]:
     """Client mart and offer mart of one run date."""
-    stamp = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
+    stamp = F.lit(run_stamp(as_of, at)).cast("timestamp")
     snapshot = latest_snapshot(io.read_segmentation(spark, layers.segmentation), as_of)
     clients = combine_segments(snapshot)
 
@@ -139,7 +169,7 @@ def mart_layer(spark: SparkSession, layers: io.Layers, as_of: str, created_at: s
 
 
 def analytics_layer(
-    spark: SparkSession, layers: io.Layers, as_of: str, created_at: str | None = None
+    spark: SparkSession, layers: io.Layers, as_of: str, at: str | None = None
 ) -> list[Loaded]:
     """Daily figures of the run, computed on the run's part of the client mart."""
     mart = MARTS["marketing_analytics_daily"]
@@ -149,7 +179,7 @@ def analytics_layer(
         clients = io.read_mart(spark, layers.mart(source), source).where(
             F.col("run_date") == F.lit(as_of).cast("date")
         )
-        daily = reports.daily_segment_metrics(clients, as_of, created_at)
+        daily = reports.daily_segment_metrics(clients, as_of, run_stamp(as_of, at))
         return io.write_mart(daily, layers.mart(mart), mart, as_of), 0
 
     return _each("analytics", [mart], lambda m: m.name, load)
@@ -192,19 +222,21 @@ def run_pipeline(
     as_of: str,
     at: str | None = None,
     compact_month: int | None = None,
+    entities: Iterable[Entity] = tuple(ENTITIES.values()),
 ) -> list[Loaded]:
     """All stages in dependency order for one date; running a date again replaces it.
 
     `messages_of` gives the message envelope of an entity, from files or from a topic.
+    `entities` limits what is ingested; the others keep what an earlier run cleaned.
     A failed table ends the run after its stage, as later stages need it. An empty one is
     reported as not ok, but the run goes on. With `compact_month` the marts of that month
     are merged and rewritten at the end.
     """
-    layers = io.Layers(root)
+    layers, at = io.Layers(root), run_stamp(as_of, at)
     done: list[Loaded] = []
     stages = [
-        lambda: ingest(spark, messages_of, layers, as_of, at=at),
-        lambda: clean_layer(spark, layers, as_of),
+        lambda: ingest(spark, messages_of, layers, as_of, entities, at),
+        lambda: clean_layer(spark, layers, as_of, entities),
         lambda: dedup_layer(spark, layers, as_of),
         lambda: segmentation_layer(spark, layers, as_of, at),
         lambda: mart_layer(spark, layers, as_of, at),
@@ -223,6 +255,24 @@ def load_report(spark: SparkSession, lines: list[Loaded]) -> DataFrame:
     return spark.createDataFrame([tuple(vars(x).values()) for x in lines], LOAD_REPORT_DDL)
 
 
+def load_totals(report: DataFrame) -> DataFrame:
+    """Per stage: tables that went well or not, rows, rejected rows, throughput and error rate.
+
+    Tables of a stage run side by side, so the slowest one is the time of the stage. A
+    table that failed as a whole counts as one error.
+    """
+    errors = F.sum("rejected") + F.count("error")
+    return report.groupBy("stage").agg(
+        F.count_if("ok").alias("successful_tables"),
+        F.count_if(~F.col("ok")).alias("failed_tables"),
+        F.sum("rows").alias("total_rows"),
+        errors.alias("total_errors"),
+        F.max("seconds").alias("seconds"),
+        F.coalesce(F.try_divide(F.sum("rows"), F.max("seconds")), F.lit(0.0)).alias("rows_per_second"),
+        (errors * 100.0 / F.greatest(F.lit(1), F.sum("rows") + errors)).alias("error_rate_percent"),
+    )
+
+
 def _each(stage: str, items: Iterable, name: Callable, load: Callable[..., tuple[int, int]]) -> list[Loaded]:
     """Run one independent Spark job per table side by side; a failure is reported, not raised."""
 

@@ -208,9 +208,11 @@ ENTITIES: dict[str, Entity] = {
 # Entities that get a deduplicated local table (currency rates stop at the cleaned layer).
 DEDUPLICATED = [e for e in ENTITIES.values() if e.newest_by]
 
+# Columns of the message source; in files, the topic is the name of the folder.
 ENVELOPE_DDL = (
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
 )
+MESSAGE_FILE_DDL = ENVELOPE_DDL.replace("topic string, ", "")
 
 
 @dataclass(frozen=True)

@@ -39,6 +39,12 @@ def parse_topics(text: str) -> list[str]:
     return text.replace(",", " ").split()
 
 
+def entities_of(topics: list[str], prefix: str = "") -> tuple[list[Entity], list[str]]:
+    """(entities of the known topics, names of the unknown ones, which are skipped)."""
+    known = routes(prefix)
+    return [known[t] for t in topics if t in known], [t for t in topics if t not in known]
+
+
 def to_messages(df: DataFrame, topic: str) -> DataFrame:
     """(topic, value): the whole row as JSON, no key."""
     return df.select(F.lit(topic).alias("topic"), F.to_json(F.struct("*"), JSON_FORMATS).alias("value"))
@@ -80,15 +86,26 @@ def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) ->
     )
 
 
+def topic_folder(path: str, topic: str) -> str:
+    return f"{path}/topic={topic}"
+
+
 def write_envelope(df: DataFrame, path: str, topic: str, at: str | None = None) -> None:
-    """Append rows to a file-based topic: one folder per topic below `path`."""
-    to_envelope(df, topic, at).write.mode("append").partitionBy("topic").parquet(path)
+    """Append rows to a file-based topic: one folder per topic below `path`.
+
+    Each topic is written to its own folder rather than with `partitionBy`, so that topics
+    can be written at the same time: Spark writers of one folder remove each other's
+    temporary files.
+    """
+    to_envelope(df, topic, at).drop("topic").write.mode("append").parquet(topic_folder(path, topic))
 
 
 def read_envelope(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
-    """Messages of a file-based topic set; a topic filter prunes to that folder."""
-    messages = spark.read.schema(ENVELOPE_DDL).parquet(path)
-    return messages if topic is None else messages.where(F.col("topic") == topic)
+    """Messages of one file-based topic, or of all topics below `path`."""
+    if topic is None:
+        return spark.read.schema(ENVELOPE_DDL).parquet(path)
+    reader = spark.read.schema(ENVELOPE_DDL).option("basePath", path)
+    return reader.parquet(topic_folder(path, topic))
 
 
 def parse_messages(envelope: DataFrame, entity: Entity) -> DataFrame:

@@ -1,16 +1,16 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import ENVELOPE_DDL, Entity
-from ..sources.envelope import is_unreadable, parse_messages, with_lineage
+from ..schemas import MESSAGE_FILE_DDL, Entity
+from ..sources.envelope import is_unreadable, parse_messages, topic_folder, with_lineage
 
 
 def stream_files(spark: SparkSession, path: str, topic: str, **options: str) -> DataFrame:
     """New messages of one file-based topic."""
-    reader = spark.readStream.schema(ENVELOPE_DDL).options(**options)
-    return reader.parquet(path).where(F.col("topic") == topic)
+    reader = spark.readStream.schema(MESSAGE_FILE_DDL).options(**options)
+    return reader.parquet(topic_folder(path, topic))
 
 
 def stream_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:

@@ -104,3 +104,32 @@ def test_empty_topic_is_reported_but_does_not_end_the_run(spark, tmp_path):
     lines = pipeline.run_pipeline(spark, lambda e: nothing, str(tmp_path / "y"), "2024-06-30")
     assert [x for x in lines if x.error] == []
     assert all(not x.ok and x.rows == 0 for x in lines)
+
+
+def test_command_line_from_files_to_marts(spark, tiny, tmp_path, capsys):
+    from clientlens.__main__ import main
+
+    source, topics, root = (str(tmp_path / n) for n in ("files", "topics", "layers"))
+    for name, e in ENTITIES.items():
+        rows = spark_entity(spark, tiny, name)
+        rows.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(
+            f"{source}/{e.source_file}.csv"
+        )
+    common = ["2024-06-30", "--root", root, "--messages", topics, "--prefix", "X_"]
+    assert main(["publish", *common, "--files", source]) == 0
+    assert main(["ingest", *common, "--topics", "X_clients,X_nothing X_payments"]) == 0
+    assert main(["run", *common, "--compact"]) == 0
+    assert main(["analytics", *common]) == 0
+    assert io.read_mart(spark, io.Layers(root).mart(OFFERS), OFFERS).count() == 450
+    assert main(["ingest", *common[:3], "--messages", str(tmp_path / "none")]) == 1
+    assert "successful_tables" in capsys.readouterr().out
+
+
+def test_totals_of_a_report(spark):
+    lines = [
+        pipeline.Loaded("ingest", "a", 90, 9, True, 2.0),
+        pipeline.Loaded("ingest", "b", 0, 0, False, 1.0, "boom"),
+    ]
+    row = pipeline.load_totals(pipeline.load_report(spark, lines)).first()
+    assert (row.successful_tables, row.failed_tables, row.total_rows, row.total_errors) == (1, 1, 90, 10)
+    assert (row.rows_per_second, row.error_rate_percent) == (45.0, 10.0)
