@@ -18,11 +18,14 @@ def newest_per_key(
     Spark turns `rank = 1` into a group limit on both sides of the shuffle: every map
     task sends at most one row per key, so a key that holds a large part of all rows
     does not make a large task.
+
+    The key's hash leads the window's partitioning because record ids share long prefixes:
+    sorting compares the hash first and rarely has to look at the strings.
     """
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in keys and c != newest_by]
     order = [F.col(newest_by).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order))
     return df.withColumn("rank_in_key", rank).where("rank_in_key = 1").drop("rank_in_key")
 
 
