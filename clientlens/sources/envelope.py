@@ -90,14 +90,20 @@ def topic_folder(path: str, topic: str) -> str:
     return f"{path}/topic={topic}"
 
 
-def write_envelope(df: DataFrame, path: str, topic: str, at: str | None = None) -> None:
+def write_envelope(
+    df: DataFrame, path: str, topic: str, at: str | None = None, partitions: int | None = None
+) -> None:
     """Append rows to a file-based topic: one folder per topic below `path`.
 
+    `partitions` spreads the rows over that many files, as over the partitions of a topic,
+    so that reading is not bound to the few tasks a small or unsplittable input gives.
+
     Each topic is written to its own folder rather than with `partitionBy`, so that topics
     can be written at the same time: Spark writers of one folder remove each other's
     temporary files.
     """
-    to_envelope(df, topic, at).drop("topic").write.mode("append").parquet(topic_folder(path, topic))
+    spread = df if partitions is None else df.repartition(partitions)
+    to_envelope(spread, topic, at).drop("topic").write.mode("append").parquet(topic_folder(path, topic))
 
 
 def read_envelope(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:

@@ -107,6 +107,12 @@ def duckdb_sql(entity: str) -> str:
     return ADAPTERS[entity].format(**{t: t for t in TABLES})
 
 
+def spark_entities(spark, sf_dir: str, *entities: str) -> dict:
+    """The entities over one reader per table."""
+    names = {t for e in entities for t in tables_of(e)}
+    read = {t: spark.read.schema(TABLES[t]).parquet(f"{sf_dir}/{t}.parquet") for t in names}
+    return {e: spark.sql(ADAPTERS[e], **{t: read[t] for t in tables_of(e)}) for e in entities}
+
+
 def spark_entity(spark, sf_dir: str, entity: str):
-    tables = {t: spark.read.schema(TABLES[t]).parquet(f"{sf_dir}/{t}.parquet") for t in tables_of(entity)}
-    return spark.sql(ADAPTERS[entity], **tables)
+    return spark_entities(spark, sf_dir, entity)[entity]

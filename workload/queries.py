@@ -22,7 +22,7 @@ from clientlens.streaming.ingest import start_ingest, stream_files
 from clientlens.workspace import scratch_path
 
 from . import feeds
-from .adapters import ADAPTERS, spark_entity
+from .adapters import ADAPTERS, spark_entities, spark_entity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,11 +51,11 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def base(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {name: spark_entity(spark, sf, name) for name in ADAPTERS}
+    return spark_entities(spark, sf, *ADAPTERS)
 
 
 def segmented(spark: SparkSession, sf: str) -> DataFrame:
-    return segment_clients(base(spark, sf), AS_OF, AT)
+    return segment_clients(spark_entities(spark, sf, "clients", *BY_ENTITY), AS_OF, AT)
 
 
 def combined(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,7 +114,8 @@ def write_messages(spark: SparkSession, sf: str, names=tuple(ENTITIES), feed=Non
         rows = spark_entity(spark, sf, name)
         if feed is not None:
             rows = feed(rows, ENTITIES[name])
-        envelope.write_envelope(rows, path, ENTITIES[name].topic, AT)
+        spread = spark.sparkContext.defaultParallelism
+        envelope.write_envelope(rows, path, ENTITIES[name].topic, AT, spread)
 
     side_by_side(write, names)
     return path
@@ -208,9 +209,8 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """Two dates of the segmentation table on disk; the newest one is read back."""
     path = io.Layers(scratch_path(spark, "history")).segmentation
-    entities = base(spark, sf)
-    for day, at in ((EARLIER, AT_EARLIER), (AS_OF, AT)):
-        io.write_segmentation(segment_clients(entities, day, at), path)
+    dates = F.array(*[F.lit(day).cast("date") for day in (EARLIER, AS_OF)])
+    io.write_segmentation(segmented(spark, sf).withColumn("processing_date", F.explode(dates)), path)
     return latest_snapshot(io.read_segmentation(spark, path))
 
 
