@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,19 +30,10 @@ def session(app_name: str = "clientlens", **extra: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: spark.checkpoint.dir of the session.
 
-    Only a local session may go without it; it gets a temporary folder, once.
+    Where that is unset, a folder below the warehouse of the session, which executors share as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if not _local_folder:
-        _local_folder.append(tempfile.mkdtemp(prefix="clientlens-"))
-    return _local_folder[0]
-
-
-_local_folder: list[str] = []
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
