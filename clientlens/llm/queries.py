@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientlens.llm import langid, packing, pii, sharding, urls
+from clientlens.llm import embeddings, langid, packing, pii, sharding, urls, warc
 from clientlens.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -66,6 +66,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.build_derivatives(table(spark, sf_dir, "pages"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -75,6 +83,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op4_packing,
             op6_url_filter,
             op7_sharding,
+            op8_embedding_duplicates,
+            op9_warc,
         )
     }
 
@@ -98,5 +108,29 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM answ
 """
 
 
+EMBEDDING_SQL = """
+WITH RECURSIVE rows AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), good AS (
+    SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM rows
+    WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.98
+), reach(start, node) AS (
+    SELECT vec_id, vec_id FROM rows
+    UNION
+    SELECT r.start, l.b FROM reach r JOIN links l ON l.a = r.node
+), named AS (
+    SELECT start AS vec_id, min(node) AS component_id FROM reach GROUP BY start
+), counted AS (
+    SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT n.vec_id, coalesce(c.n, 0) AS n_links, n.component_id, n.vec_id = n.component_id AS kept
+FROM named n LEFT JOIN counted c USING (vec_id)
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op6_url_filter": URL_SQL}
+    return {"op6_url_filter": URL_SQL, "op8_embedding_duplicates": EMBEDDING_SQL}
