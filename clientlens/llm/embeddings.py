@@ -94,9 +94,8 @@ def near_duplicates(
     finite = lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))
     good = "label is not null and id is not null and v is not null"
     valid = rows.where(good).where(F.forall("v", finite) & F.exists("v", lambda x: x != 0))
-    distinct = staged(
-        valid.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "distinct-vectors"
-    )
+    distinct = valid.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    distinct = staged(distinct.withColumn("node", F.xxhash64("label", "v")), "distinct-vectors")
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each vector with its cells in all tables."""
@@ -110,8 +109,8 @@ def near_duplicates(
                 marks = np.floor(marks + _memo(1, tables * cell_projections, 2)[0]).astype(np.int64)
                 found.append([hash((t, len(x), *row)) for t, row in enumerate(marks.reshape(tables, -1).tolist())])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("id", "v", "copies", "label_key")), pa.array(found, pa.list_(pa.int64()))],
-                ["id", "v", "copies", "label_key", "cells"],
+                [*(batch.column(c) for c in ("node", "v", "copies", "label_key")), pa.array(found, pa.list_(pa.int64()))],
+                ["node", "v", "copies", "label_key", "cells"],
             )
 
     known: dict[tuple[int, int, int], np.ndarray] = {}
@@ -122,29 +121,29 @@ def near_duplicates(
             known[size, count, seed] = _directions(size, count, seed)
         return known[size, count, seed]
 
-    marked = distinct.select("id", "v", "copies", F.xxhash64("label").alias("label_key")).mapInArrow(
-        cells, f"id long, v {kind}, copies long, label_key long, cells array<long>"
+    marked = distinct.select("node", "v", "copies", F.xxhash64("label").alias("label_key")).mapInArrow(
+        cells, f"node long, v {kind}, copies long, label_key long, cells array<long>"
     )
     marked = staged(marked, "vector-cells")
     # Cells with one vector go before the vectors travel; large ones are cut into chunks that meet pairwise.
-    members = marked.select("id", "label_key", F.posexplode("cells").alias("t", "cell"))
+    members = marked.select("node", "label_key", F.posexplode("cells").alias("t", "cell"))
     sizes = members.groupBy("label_key", "t", "cell").agg(F.count("*").alias("n")).where("n > 1")
     spots = members.join(sizes, ["label_key", "t", "cell"]).select(
-        "id", "label_key", "t", "cell", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")
+        "node", "label_key", "t", "cell", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")
     )
-    mine = F.pmod(F.xxhash64("id", "t"), F.col("chunks")).cast("int")
+    mine = F.pmod(F.xxhash64("node", "t"), F.col("chunks")).cast("int")
     meets = F.sequence(F.lit(0), F.col("chunks") - 1)
     spots = spots.withColumn("mine", mine).withColumn("other", F.explode(meets)).select(
-        "id", "t", "mine",
+        "node", "t", "mine",
         F.xxhash64("label_key", "t", "cell", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"),
         (F.col("mine") < F.col("other")).alias("low"), (F.col("mine") == F.col("other")).alias("same"),
     )
     # Many small blocks share a group, so that a call of the function is worth its cost.
     bins = max(8, int(spots.sparkSession.conf.get("spark.sql.shuffle.partitions"))) * 4
-    work = spots.join(marked.drop("label_key"), "id").withColumn("bin", F.pmod("block", F.lit(bins)))
+    work = spots.join(marked.drop("label_key"), "node").withColumn("bin", F.pmod("block", F.lit(bins)))
 
     def compare(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
+        nodes = table.column("node").to_numpy()
         blocks, t = table.column("block").to_numpy(), table.column("t").to_numpy()
         low = table.column("low").to_numpy(zero_copy_only=False)
         same = table.column("same").to_numpy(zero_copy_only=False)
@@ -176,22 +175,25 @@ def near_duplicates(
             linked = np.einsum("ij,ij->i", x[a], x[b]) >= threshold
             a, b = group[a[linked]], group[b[linked]]
             for i, n in zip([*a, *b], [*copies[b], *copies[a]]):
-                links[int(ids[i])] = links.get(int(ids[i]), 0) + int(n)
-            edges += spanning(ids[a], ids[b])
+                links[int(nodes[i])] = links.get(int(nodes[i]), 0) + int(n)
+            edges += spanning(nodes[a], nodes[b])
         found = [(i, n, None) for i, n in links.items()] + [(a, 0, b) for a, b in edges]
         columns = list(zip(*found)) if found else [(), (), ()]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["id", "n", "to"])
-
-    found = staged(work.groupBy("bin").applyInArrow(compare, "id long, n long, to long"), "vector-links")
-    names = connected_components(found.where("to is not null").select(F.col("id").alias("a"), F.col("to").alias("b")))
-    counts = found.groupBy("id").agg(F.sum("n").alias("n"))
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["node", "n", "to"])
+
+    found = staged(work.groupBy("bin").applyInArrow(compare, "node long, n long, to long"), "vector-links")
+    names = connected_components(found.where("to is not null").select(F.col("node").alias("a"), F.col("to").alias("b")))
+    named = staged(names.join(distinct.select("node", "id"), "node"), "vector-names")
+    classes = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    classes = named.join(classes, "component").select("node", "component_id")
+    counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     answers = (
-        distinct.join(counts, "id", "left")
-        .join(names, F.col("id") == F.col("node"), "left")
+        distinct.join(counts, "node", "left")
+        .join(classes, "node", "left")
         .select(
             F.col("label").alias("rep_label"), F.col("v").alias("rep_v"),
             (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
+            F.coalesce("component_id", "id").alias("component_id"),
         )
     )
     joined = rows.join(answers, (F.col("label") == F.col("rep_label")) & (F.col("v") == F.col("rep_v")) & F.col("id").isNotNull(), "left")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientlens.llm import embeddings, langid, packing, pii, sharding, urls, warc
+from clientlens.llm import embeddings, langid, ngrams, packing, pii, sharding, urls, warc
 from clientlens.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -74,6 +74,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.build_derivatives(table(spark, sf_dir, "pages"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -85,6 +89,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op7_sharding,
             op8_embedding_duplicates,
             op9_warc,
+            op10_ngram_join,
         )
     }
 
@@ -132,5 +137,37 @@ FROM named n LEFT JOIN counted c USING (vec_id)
 """
 
 
+NGRAM_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents
+), runs AS (
+    SELECT doc_id, unnest(list_distinct(list_transform(
+        range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) AS run
+    FROM words WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM runs a JOIN runs b USING (run)
+    WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE c / (x.n + y.n - c) >= 0.8
+), reach(start, node) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.start, l.b FROM reach r JOIN links l ON l.a = r.node
+), named AS (
+    SELECT start AS doc_id, min(node) AS class_id FROM reach GROUP BY start
+), counted AS (
+    SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT n.doc_id, coalesce(c.n, 0) AS n_links, n.class_id FROM named n LEFT JOIN counted c USING (doc_id)
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op6_url_filter": URL_SQL, "op8_embedding_duplicates": EMBEDDING_SQL}
+    return {
+        "op6_url_filter": URL_SQL,
+        "op8_embedding_duplicates": EMBEDDING_SQL,
+        "op10_ngram_join": NGRAM_SQL,
+    }
