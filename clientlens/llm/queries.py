@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientlens.llm import embeddings, langid, ngrams, packing, pii, sharding, urls, warc
+from clientlens.llm import decontaminate, embeddings, langid, licenses, ngrams, packing, pii, sharding, urls, warc
 from clientlens.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -34,6 +34,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     listed = lambda spans: F.array_join(
@@ -52,6 +56,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path=WORDS)
 
 
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, action)")
@@ -83,8 +92,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_language_id,
+            op2_decontamination,
             op3_pii,
             op4_packing,
+            op5_licence_scan,
             op6_url_filter,
             op7_sharding,
             op8_embedding_duplicates,
