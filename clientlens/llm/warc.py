@@ -130,5 +130,5 @@ def build_derivatives(
 
 def write_warc(records: DataFrame, path: str) -> None:
     """Write records as uncompressed WARC files, one for each partition."""
-    whole = F.concat("headers", F.lit(CRLF), "block", F.lit(CRLF + CRLF))
-    records.select(whole.alias("value")).write.option("lineSep", "").option("compression", "none").text(path)
+    whole = F.concat("headers", F.lit(CRLF), "block", F.lit(CRLF))  # the line separator is the second one
+    records.select(whole.alias("value")).write.option("lineSep", CRLF).option("compression", "none").text(path)
