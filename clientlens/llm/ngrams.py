@@ -184,12 +184,14 @@ def similar_documents(
     band_rows: int = 4,
     tolerance: float = 1e-6,
     chunk: int = 256,
+    broadcast_ids: int = 1_000_000,
 ) -> DataFrame:
     """(id, n_links, class_id) of every document; the id is a whole number.
 
     n_links counts the other documents whose index with this one reaches the threshold; class_id is the smallest
     id reachable over such links. With 20 bands of 4 values a pair of index 0.8 is missed with
-    probability (1 - 0.8^4)^20 = 3e-5, one of 0.9 with 2e-9.
+    probability (1 - 0.8^4)^20 = 3e-5, one of 0.9 with 2e-9. Up to `broadcast_ids` ids of surviving
+    candidates (8 bytes each) are sent to the scan that fetches their texts; more are joined by shuffle.
     """
     values = bands * band_rows
     limits = least_matches(threshold, values, 16, tolerance)
@@ -243,7 +245,10 @@ def similar_documents(
 
     groups = staged(groups.join(sets, "node"), "ngram-groups")
     # A repeated id can have several texts; the mark of the set tells which of them is meant.
-    wanted = texts.join(groups.select("id").distinct(), "id").select("text")
+    ids = groups.select("id").distinct()
+    if groups.count() <= broadcast_ids:
+        ids = F.broadcast(ids)  # else both sides are shuffled
+    wanted = texts.join(ids, "id").select("text")
     exact = wanted.mapInArrow(gather, "mark binary, runs binary").dropDuplicates(["mark"])
     exact = staged(exact.join(groups, "mark").select("node", "copies", "sig", "runs"), "ngram-exact")
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
