@@ -14,6 +14,7 @@ without text or language are not learned from; columns other than those named ar
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -241,6 +242,18 @@ class Scorer:
             out[t] += self.table[places].sum(axis=0, dtype=np.float64)
 
 
+_scorers: dict[bytes, Scorer] = {}
+
+
+def _scorer(model: Model) -> Scorer:
+    """The scorer of a model in this Python worker: its memory lasts from task to task."""
+    mark = repr(model.languages).encode() + hashlib.sha256(model.weights.tobytes()).digest()
+    if mark not in _scorers:
+        _scorers.clear()
+        _scorers[mark] = Scorer(model)
+    return _scorers[mark]
+
+
 def identify(
     docs: DataFrame,
     model: Model,
@@ -259,7 +272,7 @@ def identify(
     languages = np.array([*model.languages, "und"], dtype=object)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = _scorer(model)
         for batch in slices(batches, "text"):
             sums = scorer.sums([t or "" for t in batch.column("text").to_pylist()])
             words, logs = sums[:, -1], sums[:, :-1]
