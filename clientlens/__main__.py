@@ -1,6 +1,6 @@
 """Command line: run the whole pipeline or one stage for a date.
 
-    spark-submit clientlens/__main__.py ... or: python -m clientlens STAGE DATE --root DIR ...
+    python -m clientlens STAGE DATE --root DIR ...
 
 Exit status is 0 when every table of every stage was loaded with rows.
 """

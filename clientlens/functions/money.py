@@ -2,35 +2,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-AMOUNT = "decimal(18,2)"
+# All money is added at this scale: 26 digits before the point, 12 after it.
+AMOUNT = "decimal(38,12)"
 
-# Amounts below this are added as whole cents; a bigint then has room for 100,000 times it.
-LIMIT = 9e11
 
+def fits(c: Column) -> Column:
+    """True for NULL and for every number AMOUNT can hold; false for NaN, infinities and larger ones."""
+    return c.isNull() | c.try_cast(AMOUNT).isNotNull()
 
-def total(c: Column) -> Column:
-    """Sum of a double column of two-decimal amounts, the same whatever the row order.
 
-    Cents are added as bigint, which is exact, stays in generated code and costs less
-    than half of a decimal sum. Values outside the limit, infinities and NaN are added
-    as they are and carry into the total as in any double sum. NULL when all are NULL.
+def decimal_total(c: Column) -> Column:
+    """Exact sum, the same whatever the row order. NULL when all are NULL.
+
+    A value that does not fit is an error here; the quality contracts set such rows aside before.
     """
-    small = F.abs(c) < LIMIT
-    cents = F.sum(F.when(small, F.rint(c * 100).cast("bigint")))
-    rest = F.sum(F.when(~small, c))
-    # Each part is NULL when it had nothing to add.
-    return F.coalesce(cents / F.lit(100.0) + rest, cents / F.lit(100.0), rest)
+    unfit = F.raise_error(F.lit(f"amount does not fit {AMOUNT}"))
+    value = F.coalesce(c.try_cast(AMOUNT), F.when(c.isNotNull(), unfit).cast(AMOUNT))
+    return F.sum(value)
+
+
+def total(c: Column) -> Column:
+    """decimal_total as a double."""
+    return decimal_total(c).cast("double")
 
 
 def mean(c: Column) -> Column:
     """Average as total over the number of non-null values; NULL when there are none."""
     return total(c) / F.nullif(F.count(c), F.lit(0))
-
-
-def decimal_total(c: Column) -> Column:
-    """Sum as decimal, for mart columns and for totals that a bigint of cents may not hold."""
-    return F.sum(c.cast(AMOUNT))
-
-
-def decimal_mean(c: Column) -> Column:
-    return decimal_total(c).cast("double") / F.nullif(F.count(c), F.lit(0))

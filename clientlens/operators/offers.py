@@ -116,9 +116,19 @@ def offers_with_ids(clients: DataFrame, templates: Sequence[Template] = TEMPLATE
 
     Clients are numbered, not offers: offer n of client c is number
     `offers of the clients before c + n`, and every client gets equally many offers,
-    so the sort runs on a third of the rows.
+    so the sort runs on a third of the rows. Where segments have unequal numbers of
+    templates, the offers themselves are sorted and numbered.
+
+    The sort runs, and its rows are staged, when this is called.
     """
     per_client = _offers_per_client(templates)
+    if per_client is None:
+        offers = expand_offers(clients, templates, keep=("total_value", "login_count", "position"), **options)
+        offers = with_global_ordinal(offers, [*client_order(), F.col("position")], "offer_ordinal")
+        return offers.select(
+            offer_id(F.col("client_id"), F.col("offer_type"), F.col("offer_ordinal")).alias("offer_id"),
+            *OFFER_COLUMNS,
+        )
     numbered = with_global_ordinal(clients, client_order(), "client_ordinal")
     offers = expand_offers(numbered, templates, keep=("client_ordinal", "position"), **options)
     ordinal = (F.col("client_ordinal") - 1) * per_client + F.col("position")
@@ -127,10 +137,9 @@ def offers_with_ids(clients: DataFrame, templates: Sequence[Template] = TEMPLATE
     )
 
 
-def _offers_per_client(templates: Sequence[Template]) -> int:
+def _offers_per_client(templates: Sequence[Template]) -> int | None:
+    """Templates of every segment, if all have equally many."""
     counts: dict[str, int] = {}
     for t in templates:
         counts[t.combined_segment] = counts.get(t.combined_segment, 0) + 1
-    if len(set(counts.values())) != 1:
-        raise ValueError(f"ids need the same number of templates in every segment, got {counts}")
-    return next(iter(counts.values()))
+    return next(iter(counts.values())) if len(set(counts.values())) == 1 else None

@@ -81,6 +81,8 @@ def ingest(
             parsed.where(bad).select("raw_value").write.mode("overwrite").parquet(
                 layers.unreadable(entity, processing_date)
             )
+        else:
+            io.clear(spark, layers.unreadable(entity, processing_date), "raw_value string")
         return metrics["rows"] - metrics["rejected"], metrics["rejected"]
 
     return _each("ingest", entities, lambda e: e.raw_table, load)
@@ -103,6 +105,9 @@ def clean_layer(
         if metrics["rejected"]:
             # A second pass over the raw rows only when there is something to set aside.
             io.write_dated(broken_rows(flagged, entity), layers.quarantine(entity), processing_date)
+        else:
+            aside = io.dated(layers.quarantine(entity), processing_date)
+            io.clear(spark, aside, f"{entity.ddl}, violations string")
         return metrics["rows"] - metrics["rejected"], metrics["rejected"]
 
     return _each("clean", entities, lambda e: e.structured_table, load)
@@ -117,14 +122,19 @@ def dedup_layer(
     """Newest version of every record of one cleaned date, or of all dates.
 
     A date ingested from the beginning of the topics holds every record, so reading older
-    dates again would only repeat it. Leave the date out where each date holds what
-    arrived since the one before, as after the incremental ingest.
+    dates again would only repeat it; an entity that was not ingested on the date is taken
+    from its newest date before. One without any is an error, and its table stays as it is.
+    Leave the date out where each date holds what arrived since the one before, as after the
+    incremental ingest.
     """
 
     def load(entity: Entity) -> tuple[int, int]:
+        newest = processing_date and io.newest_date(spark, layers.cleaned(entity), processing_date)
+        if processing_date is not None and newest is None:
+            raise LookupError(f"{entity.structured_table} has no cleaned date up to {processing_date}")
         cleaned = io.read_cleaned(spark, layers.cleaned(entity), entity)
-        if processing_date is not None:
-            cleaned = cleaned.where(F.col("processing_date") == F.lit(processing_date).cast("date"))
+        if newest is not None:
+            cleaned = cleaned.where(F.col("processing_date") == F.lit(newest).cast("date"))
         return io.write_full_refresh(dedup_entity(cleaned, entity), layers.structured(entity)), 0
 
     return _each("dedup", entities, lambda e: e.structured_table, load)
@@ -146,7 +156,7 @@ def segmentation_layer(
 
     def load(_) -> tuple[int, int]:
         tables = {e.name: io.read_structured(spark, layers.structured(e), e) for e in DEDUPLICATED}
-        return io.write_segmentation(segment_clients(tables, as_of, stamp), layers.segmentation), 0
+        return io.write_segmentation(segment_clients(tables, as_of, stamp), layers.segmentation, as_of), 0
 
     return _each("segment", ["client_segmentation"], str, load)
 
@@ -171,15 +181,18 @@ def mart_layer(spark: SparkSession, layers: io.Layers, as_of: str, at: str | Non
 def analytics_layer(
     spark: SparkSession, layers: io.Layers, as_of: str, at: str | None = None
 ) -> list[Loaded]:
-    """Daily figures of the run, computed on the run's part of the client mart."""
+    """Daily figures of the run, computed on the segmentation of its date.
+
+    The client mart loses rows of older runs when it is compacted; the segmentation keeps
+    every date. Values are rounded as the client mart holds them.
+    """
     mart = MARTS["marketing_analytics_daily"]
 
     def load(_) -> tuple[int, int]:
-        source = MARTS["marketing_clients"]
-        clients = io.read_mart(spark, layers.mart(source), source).where(
-            F.col("run_date") == F.lit(as_of).cast("date")
-        )
-        daily = reports.daily_segment_metrics(clients, as_of, run_stamp(as_of, at))
+        stamp = run_stamp(as_of, at)
+        clients = combine_segments(latest_snapshot(io.read_segmentation(spark, layers.segmentation), as_of))
+        clients = clients.withColumn("last_updated", F.lit(stamp).cast("timestamp"))
+        daily = reports.daily_segment_metrics(io.to_mart(clients, MARTS["marketing_clients"]), as_of, stamp)
         return io.write_mart(daily, layers.mart(mart), mart, as_of), 0
 
     return _each("analytics", [mart], lambda m: m.name, load)

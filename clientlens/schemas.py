@@ -51,6 +51,8 @@ class Entity:
     # the remaining columns are compared.
     tie_break: tuple[str, ...] = ()
     source_file: str = ""
+    # Sums are taken of these columns or products, so they have to fit the money type.
+    amounts: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -99,6 +101,7 @@ ENTITIES: dict[str, Entity] = {
             name="bank_transactions",
             topic="bank_transactions",
             source_file="bank_transactions",
+            amounts=("amount",),
             label="Transactions (EXT)",
             ddl="transaction_id string, client_id string, transaction_date date, amount double, "
             "currency string, transaction_type string, channel string",
@@ -157,6 +160,7 @@ ENTITIES: dict[str, Entity] = {
             name="payments",
             topic="payments",
             source_file="payments",
+            amounts=("amount",),
             label="Payments (EXT)",
             ddl="payment_id string, client_id string, payment_date date, amount double, currency string, "
             "payment_type string, status string",
@@ -174,6 +178,7 @@ ENTITIES: dict[str, Entity] = {
         ),
         Entity(
             name="portfolios",
+            amounts=("quantity * current_price",),
             topic="securities_portfolios",
             source_file="securities_portfolios",
             label="Portfolios (EXT)",
@@ -244,7 +249,7 @@ MARTS: dict[str, Mart] = {
         Mart(
             name="marketing_clients",
             ddl="client_id string, client_name string, portfolio_segment string, transaction_segment string, "
-            "combined_segment string, total_value decimal(18,2), activity_score bigint, priority_level int, "
+            "combined_segment string, total_value decimal(28,2), activity_score bigint, priority_level int, "
             "last_updated timestamp",
             sort_by=("client_id", "priority_level"),
             month_of="last_updated",
@@ -255,7 +260,7 @@ MARTS: dict[str, Mart] = {
             ddl="offer_id bigint, client_id string, client_name string, portfolio_segment string, "
             "transaction_segment string, combined_segment string, offer_type string, offer_description string, "
             "expected_revenue decimal(12,2), priority_level int, offer_priority int, days_valid int, "
-            "total_portfolio_value decimal(18,2), created_at timestamp",
+            "total_portfolio_value decimal(28,2), created_at timestamp",
             sort_by=("client_id", "priority_level", "offer_priority", "created_at"),
             month_of="created_at",
         ),
@@ -271,7 +276,7 @@ MARTS: dict[str, Mart] = {
         Mart(
             name="marketing_analytics_daily",
             ddl="analysis_date date, segment string, clients_count bigint, total_revenue decimal(28,2), "
-            "avg_revenue decimal(12,2), active_clients bigint, new_clients bigint, created_at timestamp",
+            "avg_revenue decimal(28,2), active_clients bigint, new_clients bigint, created_at timestamp",
             sort_by=("analysis_date", "segment"),
             month_of="analysis_date",
             summed=("clients_count", "total_revenue", "active_clients", "new_clients"),

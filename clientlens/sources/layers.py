@@ -69,11 +69,38 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def replace_folder(df: DataFrame, folder: str) -> None:
+    """Replace what a folder holds, also by no rows at all."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+
+
+def dated(path: str, processing_date: str) -> str:
+    return f"{path}/processing_date={processing_date}"
+
+
 def write_dated(df: DataFrame, path: str, processing_date: str) -> None:
-    """Replace one date of a table. The date is written as a constant, for which Spark
-    needs no sort by partition column."""
-    dated = df.withColumn("processing_date", F.lit(processing_date).cast("date"))
-    overwrite_partitions(dated, path, ["processing_date"])
+    """Replace one date of a table, by its folder: no sort by partition column, and an empty
+    result empties the date."""
+    replace_folder(df.drop("processing_date"), dated(path, processing_date))
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a pattern, from the file system's listing; no file is opened."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(place)
+    return sorted(f.getPath().toString() for f in found or [] if f.isDirectory())
+
+
+def clear(spark: SparkSession, folder: str, ddl: str) -> None:
+    """Leave a folder without rows, if it is there."""
+    if folders(spark, folder):
+        replace_folder(spark.createDataFrame([], ddl), folder)
+
+
+def newest_date(spark: SparkSession, path: str, upto: str) -> str | None:
+    """Newest date of a dated table that is not after `upto`; a date loaded with no rows counts."""
+    dates = [f.rsplit("=", 1)[1] for f in folders(spark, dated(path, "*"))]
+    return max((d for d in dates if d <= upto), default=None)
 
 
 def write_cleaned(df: DataFrame, path: str, processing_date: str) -> int:
@@ -97,13 +124,15 @@ def read_structured(spark: SparkSession, path: str, entity: Entity) -> DataFrame
     return spark.read.schema(entity.schema).parquet(path)
 
 
-def write_segmentation(df: DataFrame, path: str) -> int:
-    """Replace the run's date. Rows are sorted inside each file by the columns that reads
+def write_segmentation(df: DataFrame, path: str, processing_date: str | None = None) -> int:
+    """Replace the given date, or the dates that occur in the rows. Rows are sorted inside each file by the columns that reads
     filter on, so Parquet row-group statistics can skip."""
     watched, seen = counted(df)
-    overwrite_partitions(
-        watched.sortWithinPartitions("processing_date", "segment", "city", "status"), path, ["processing_date"]
-    )
+    placed = watched.sortWithinPartitions("processing_date", "segment", "city", "status")
+    if processing_date is None:
+        overwrite_partitions(placed, path, ["processing_date"])
+    else:
+        write_dated(placed, path, processing_date)
     return seen.get["rows"]
 
 
@@ -119,15 +148,21 @@ def to_mart(df: DataFrame, mart: Mart) -> DataFrame:
 def write_mart(df: DataFrame, path: str, mart: Mart, run_date: str) -> int:
     """Load one run: its rows replace what an earlier run of the same date wrote.
 
-    Sorted inside each file by the mart's sort key; no shuffle is added.
+    Sorted inside each file by the mart's sort key; no shuffle is added. Months the earlier
+    run wrote and this one has no rows for are emptied.
     """
-    rows, seen = counted(to_mart(df, mart))
-    placed = rows.withColumns(
+    earlier = folders(df.sparkSession, f"{path}/yyyymm=*/run_date={run_date}")
+    month = {f: int(f.rsplit("/", 2)[1].removeprefix("yyyymm=")) for f in earlier}
+    rows = to_mart(df, mart).withColumns(
         {"yyyymm": yyyymm(F.col(mart.month_of)), "run_date": F.lit(run_date).cast("date")}
     )
+    placed, seen = counted(rows, **{f"in_{m}": F.count_if(F.col("yyyymm") == m) for m in month.values()})
     overwrite_partitions(
         placed.sortWithinPartitions("yyyymm", "run_date", *mart.sort_by), path, ["yyyymm", "run_date"]
     )
+    for folder, m in month.items():
+        if not seen.get[f"in_{m}"]:
+            clear(df.sparkSession, folder, mart.ddl)
     return seen.get["rows"]
 
 

@@ -1,6 +1,5 @@
 """Cleaning, quality, dedup, money, ordinals and maintenance on small hand-written rows."""
 
-import math
 import random
 from datetime import date, datetime
 
@@ -137,11 +136,35 @@ def test_money_is_exact_and_independent_of_order(spark):
     assert sums(spark, []) == (None, None)
 
 
-def test_money_carries_values_that_cents_cannot_hold(spark):
-    assert math.isnan(sums(spark, [1.0, float("nan")])[0])
-    assert sums(spark, [1.0, float("inf")])[0] == float("inf")
+def test_money_has_one_arithmetic_for_all_sizes(spark):
+    assert sums(spark, [0.004] * 1000)[0] == 4.0
+    assert sums(spark, [899_999_999_999.004, 0.001])[0] == 899_999_999_999.005
     assert sums(spark, [1.5, 3e15])[0] == 3e15 + 1.5
-    assert sums(spark, [4e300, 1.0])[0] == 4e300
+    assert spark.range(200_000).select(money.total(F.lit(8e11))).first()[0] == 1.6e17
+    mixed = [1e15, 0.001, -1e15, 8e11, 0.002, -8e11]
+    assert sums(spark, mixed)[0] == sums(spark, mixed[::-1])[0] == 0.003
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), 1e27])
+def test_money_that_does_not_fit_is_an_error(spark, value):
+    with pytest.raises(Exception, match="amount does not fit"):
+        sums(spark, [1.0, value])
+
+
+def test_amounts_that_do_not_fit_go_to_quarantine(spark):
+    held = ENTITIES["portfolios"]
+    rows = [
+        ("a", "c", "STOCK", "n", 1, 1.0, 2.0, date(2024, 1, 1)),
+        ("b", "c", "STOCK", "n", 2, 1.0, 1e308, date(2024, 1, 1)),
+        ("d", "c", "STOCK", "n", 2, 1.0, float("nan"), date(2024, 1, 1)),
+        ("e", "c", "STOCK", "n", 2, 1.0, None, date(2024, 1, 1)),
+    ]
+    valid, broken = split_quality(spark.createDataFrame(rows, held.schema), held)
+    assert {r.portfolio_id for r in valid.collect()} == {"a", "e"}
+    assert {(r.portfolio_id, r.violations) for r in broken.collect()} == {
+        ("b", "amount:quantity * current_price"),
+        ("d", "amount:quantity * current_price"),
+    }
 
 
 # --- ordinal ---

@@ -1,16 +1,19 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every query of the library's own operators against its SQL on the smallest tables."""
 
 import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference, duckdb_rows, spark_rows
+from workload.oracle import all_oracles
+from workload.queries import all_queries
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = all_queries()
+ORACLE = all_oracles()
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

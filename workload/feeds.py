@@ -62,3 +62,16 @@ def faulty(df: DataFrame, entity: Entity) -> DataFrame:
         }
     )
     return df.unionByName(broken)
+
+
+# Column whose values are added up.
+AMOUNT_COLUMN = {"bank_transactions": "amount", "payments": "amount", "portfolios": "current_price"}
+
+
+def finer_and_larger(df: DataFrame, entity: Entity) -> DataFrame:
+    """Base rows, and where an amount is added up copies with a thousandth of it and with 9e11 more."""
+    if entity.name not in AMOUNT_COLUMN:
+        return df
+    column = AMOUNT_COLUMN[entity.name]
+    c = F.col(column)
+    return df.unionByName(df.withColumn(column, c / F.lit(1000.0))).unionByName(df.withColumn(column, c + F.lit(9e11)))

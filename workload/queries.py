@@ -12,7 +12,7 @@ from clientlens.operators.aggregates import BY_ENTITY
 from clientlens.operators.cleaning import clean, to_cleaned
 from clientlens.operators.dedup import dedup_entity
 from clientlens.operators.maintenance import replace_latest, sum_merge
-from clientlens.operators.offers import expand_offers, offers_with_ids
+from clientlens.operators.offers import TEMPLATES, expand_offers, offers_with_ids
 from clientlens.operators.quality import split_quality
 from clientlens.operators.segmentation import combine_segments, latest_snapshot, segment_clients
 from clientlens.plans import pipeline, reports
@@ -100,7 +100,7 @@ def quality_one(entity: Entity, spark: SparkSession, sf: str) -> DataFrame:
 
 
 def aggregate_one(name: str, spark: SparkSession, sf: str) -> DataFrame:
-    return BY_ENTITY[name](spark_entity(spark, sf, name))
+    return BY_ENTITY[name](feeds.finer_and_larger(spark_entity(spark, sf, name), ENTITIES[name]))
 
 
 # --- sources and sinks ------------------------------------------------------
@@ -218,6 +218,14 @@ def offer_ids(spark: SparkSession, sf: str) -> DataFrame:
     return offers_with_ids(combined(spark, sf)).select("client_id", "offer_type", "offer_id")
 
 
+# Templates in unequal numbers: one of the passive segments, all of the others.
+UNEVEN = tuple(t for t in TEMPLATES if t.position == 1 or "Passive" not in t.combined_segment)
+
+
+def offer_ids_uneven(spark: SparkSession, sf: str) -> DataFrame:
+    return offers_with_ids(combined(spark, sf), UNEVEN).select("client_id", "offer_type", "offer_id")
+
+
 def offer_mart(spark: SparkSession, sf: str) -> DataFrame:
     """The offer mart as it is read back after the load; loading the date again replaces it."""
     mart = MARTS["targeted_offers"]
@@ -301,6 +309,57 @@ def run_offers(spark: SparkSession, sf: str) -> DataFrame:
     return plain(io.read_mart(spark, layers.mart(mart), mart))
 
 
+def _rows_by_layer(spark: SparkSession, layers: io.Layers) -> DataFrame:
+    """Rows of every structured table, and of the dates of payments, segmentation and client mart."""
+    mart = MARTS["marketing_clients"]
+    payments = ENTITIES["payments"]
+    dates = {
+        "cleaned payments": io.read_cleaned(spark, layers.cleaned(payments), payments).withColumnRenamed("processing_date", "day"),
+        "segmentation": io.read_segmentation(spark, layers.segmentation).withColumnRenamed("processing_date", "day"),
+        "client mart": io.read_mart(spark, layers.mart(mart), mart).withColumnRenamed("run_date", "day"),
+    }
+    parts = [
+        io.read_structured(spark, layers.structured(e), e)
+        .agg(F.count("*").alias("row_count"))
+        .select(F.lit(e.structured_table).alias("layer"), F.lit(None).cast("date").alias("day"), "row_count")
+        for e in DEDUPLICATED
+    ]
+    parts += [
+        rows.groupBy("day").agg(F.count("*").alias("row_count")).select(F.lit(name).alias("layer"), "day", "row_count")
+        for name, rows in dates.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_one_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """A run over all topics, then one over payments only on the next date."""
+    path, root = write_messages(spark, sf), scratch_path(spark, "one-topic")
+
+    def read(entity: Entity) -> DataFrame:
+        return envelope.read_envelope(spark, path, entity.topic)
+
+    pipeline.run_pipeline(spark, read, root, EARLIER, f"{EARLIER} 12:00:00")
+    pipeline.run_pipeline(spark, read, root, AS_OF, AT, entities=[ENTITIES["payments"]])
+    return _rows_by_layer(spark, io.Layers(root))
+
+
+def rerun_replaces(spark: SparkSession, sf: str) -> DataFrame:
+    """Two dates; the second one is run again when payments and clients have lost all their rows."""
+    path, root = write_messages(spark, sf), scratch_path(spark, "rerun")
+
+    def read(entity: Entity) -> DataFrame:
+        return envelope.read_envelope(spark, path, entity.topic)
+
+    def emptied(entity: Entity) -> DataFrame:
+        gone = entity.name in ("payments", "clients")
+        return read(entity).where(F.lit(not gone))
+
+    pipeline.run_pipeline(spark, read, root, EARLIER, f"{EARLIER} 12:00:00")
+    pipeline.run_pipeline(spark, read, root, AS_OF, AT)
+    pipeline.run_pipeline(spark, emptied, root, AS_OF, AT)
+    return _rows_by_layer(spark, io.Layers(root))
+
+
 def run_report(spark: SparkSession, sf: str) -> DataFrame:
     lines, _ = run(spark, sf)
     return pipeline.load_report(spark, lines).drop("seconds", "error")
@@ -339,6 +398,9 @@ def all_queries() -> dict[str, Query]:
         "combined_segments": combined,
         "targeted_offers": offers,
         "offer_ids": offer_ids,
+        "offer_ids_uneven": offer_ids_uneven,
+        "run_one_topic": run_one_topic,
+        "rerun_replaces": rerun_replaces,
         "client_mart": client_mart_load,
         "offer_mart": offer_mart,
         "segmentation_report": lambda s, d: reports.segmentation_report(segmented(s, d)),
