@@ -33,6 +33,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--prefix", default="", help="prefix of all topic names")
     parser.add_argument("--files", help="folder of input files (publish)")
     parser.add_argument("--suffix", default="csv", choices=("csv", "parquet"), help="kind of input files")
+    parser.add_argument("--multi-line", action="store_true", help="CSV cells may hold line breaks")
     parser.add_argument("--compact", action="store_true", help="merge the month's marts at the end of a run")
     return parser.parse_args(argv)
 
@@ -62,7 +63,9 @@ def main(argv: list[str] | None = None) -> int:
             envelope.write_envelope(rows, args.messages, topic)
 
     stages = {
-        "publish": lambda: pipeline.publish(spark, args.files, send, args.suffix, entities),
+        "publish": lambda: pipeline.publish(
+            spark, args.files, send, args.suffix, entities, f"{args.root}/unparsed/{args.date}", args.multi_line
+        ),
         "ingest": lambda: pipeline.ingest(spark, messages_of, layers, args.date, entities),
         "clean": lambda: pipeline.clean_layer(spark, layers, args.date, entities),
         "dedup": lambda: pipeline.dedup_layer(spark, layers, args.date),

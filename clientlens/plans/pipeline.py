@@ -19,7 +19,7 @@ from ..operators.segmentation import combine_segments, latest_snapshot, segment_
 from ..schemas import DEDUPLICATED, ENTITIES, MARTS, Entity, Mart
 from ..sources import layers as io
 from ..sources.envelope import is_unreadable, parse_messages, with_lineage
-from ..sources.files import input_path, read_file
+from ..sources.files import BROKEN, input_path, read_file
 from ..workspace import scratch_path
 from . import reports
 
@@ -48,13 +48,27 @@ def publish(
     send: Callable[[DataFrame, Entity], None],
     suffix: str = "csv",
     entities: Iterable[Entity] = tuple(ENTITIES.values()),
+    aside: str | None = None,
+    multi_line: bool = False,
 ) -> list[Loaded]:
-    """Files of a folder -> messages. `send` writes one entity's rows to its topic."""
+    """Files of a folder -> messages. `send` writes one entity's rows to its topic.
+
+    Lines with a cell that does not parse are not sent but counted as rejected; below the folder
+    `aside` their text is kept, in one folder per entity.
+    """
 
     def load(entity: Entity) -> tuple[int, int]:
-        watched, seen = io.counted(read_file(spark, input_path(folder, entity, suffix), entity))
-        send(watched, entity)
-        return seen.get["rows"], 0
+        rows = read_file(spark, input_path(folder, entity, suffix), entity, multi_line, keep_broken=True)
+        bad = F.col(BROKEN).isNotNull()
+        watched, seen = io.counted(rows, rejected=F.count_if(bad))
+        send(watched.where(~bad).drop(BROKEN), entity)
+        metrics = seen.get
+        if aside is not None:
+            if metrics["rejected"]:
+                io.replace_folder(rows.where(bad), f"{aside}/{entity.name}")
+            else:
+                io.clear(spark, f"{aside}/{entity.name}", f"{entity.ddl}, {BROKEN} string")
+        return metrics["rows"] - metrics["rejected"], metrics["rejected"]
 
     return _each("publish", entities, lambda e: e.topic, load)
 

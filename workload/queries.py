@@ -90,10 +90,24 @@ def json_one(entity: Entity, spark: SparkSession, sf: str) -> DataFrame:
 def csv_one(entity: Entity, spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, f"csv-{entity.name}")
     rows = spark_entity(spark, sf, entity.name)
-    rows.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    rows.write.options(**files.CSV).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     return files.read_file(spark, path, entity)
 
 
+def csv_quoted(spark: SparkSession, sf: str) -> DataFrame:
+    """Clients with quotes, separators and line breaks in their names."""
+    path, entity = scratch_path(spark, "csv-quoted"), ENTITIES["clients"]
+    name = F.concat("client_name", F.lit(' "Jr", of\n"x'))
+    spark_entity(spark, sf, "clients").withColumn("client_name", name).write.options(**files.CSV).csv(path)
+    return files.read_file(spark, path, entity, multi_line=True)
+
+
+def parquet_scan(spark: SparkSession, sf: str) -> DataFrame:
+    path = f"{scratch_path(spark, 'scan')}.parquet"
+    spark_entity(spark, sf, "clients").write.parquet(path)
+    return files.read_file(spark, path, ENTITIES["clients"])
+
+
 def quality_one(entity: Entity, spark: SparkSession, sf: str) -> DataFrame:
     valid, broken = split_quality(feeds.faulty(spark_entity(spark, sf, entity.name), entity), entity)
     return valid.withColumn("violations", F.lit("")).unionByName(broken)
@@ -386,6 +400,8 @@ def all_queries() -> dict[str, Query]:
     for name in BY_ENTITY:
         found[f"agg_{name}"] = partial(aggregate_one, name)
     found |= {
+        "csv_quoted_clients": csv_quoted,
+        "parquet_scan_clients": parquet_scan,
         "topic_routing": topic_routing,
         "unreadable_messages": unreadable_messages,
         "send_metrics": send_metrics,
