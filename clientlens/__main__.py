@@ -15,11 +15,12 @@ from .plans import pipeline
 from .schemas import ENTITIES
 from .sources import envelope
 from .sources.layers import Layers
+from .streaming import ingest as streams
 from .workspace import session
 
 log = logging.getLogger("clientlens")
 
-STAGES = ("publish", "ingest", "clean", "dedup", "segment", "mart", "analytics", "compact", "run")
+STAGES = ("publish", "ingest", "clean", "dedup", "segment", "mart", "analytics", "report", "compact", "run", "increment")
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -55,6 +56,12 @@ def main(argv: list[str] | None = None) -> int:
             return envelope.read_topic(spark, args.servers, topic)
         return envelope.read_envelope(spark, args.messages, topic)
 
+    def stream_of(entity):
+        topic = f"{args.prefix}{entity.topic}"
+        if args.servers:
+            return streams.stream_topic(spark, args.servers, topic)
+        return streams.stream_files(spark, args.messages, topic)
+
     def send(rows, entity):
         topic = f"{args.prefix}{entity.topic}"
         if args.servers:
@@ -72,9 +79,13 @@ def main(argv: list[str] | None = None) -> int:
         "segment": lambda: pipeline.segmentation_layer(spark, layers, args.date),
         "mart": lambda: pipeline.mart_layer(spark, layers, args.date),
         "analytics": lambda: pipeline.analytics_layer(spark, layers, args.date),
+        "report": lambda: pipeline.report_layer(spark, layers, args.date),
         "compact": lambda: pipeline.compact_layer(spark, layers, month),
         "run": lambda: pipeline.run_pipeline(
-            spark, messages_of, args.root, args.date, None, month if args.compact else None, entities
+            spark, messages_of, args.root, args.date, None, month if args.compact else None, entities, True
+        ),
+        "increment": lambda: pipeline.run_incremental(
+            spark, stream_of, args.root, args.date, None, month if args.compact else None, entities, True
         ),
     }
     lines = stages[args.stage]()

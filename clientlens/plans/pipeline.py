@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.cleaning import to_cleaned
 from ..operators.dedup import dedup_entity
 from ..operators.maintenance import merged
-from ..operators.offers import offers_with_ids
+from ..operators.offers import expand_offers, offers_with_ids
 from ..operators.quality import broken_rows, flag_broken, valid_rows
 from ..operators.segmentation import combine_segments, latest_snapshot, segment_clients
 from ..schemas import DEDUPLICATED, ENTITIES, MARTS, Entity, Mart
 from ..sources import layers as io
 from ..sources.envelope import is_unreadable, parse_messages, with_lineage
 from ..sources.files import BROKEN, input_path, read_file
-from ..workspace import scratch_path
+from ..streaming.ingest import start_ingest
 from . import reports
 
 
@@ -102,16 +102,50 @@ def ingest(
     return _each("ingest", entities, lambda e: e.raw_table, load)
 
 
+def arrive(
+    stream_of: Callable[[Entity], DataFrame],
+    layers: io.Layers,
+    processing_date: str,
+    entities: Iterable[Entity] = tuple(ENTITIES.values()),
+) -> list[Loaded]:
+    """Messages that came since the last call -> raw rows appended under the date.
+
+    Every message is taken once, also when a call is repeated after a failure. Messages that
+    are not JSON are kept aside by a query of their own. No new message is not a failure.
+    """
+
+    def take(entity: Entity, unreadable: bool) -> int:
+        query = start_ingest(
+            stream_of(entity), entity, layers.arrived(entity, unreadable), layers.arrived_log(entity, unreadable),
+            processing_date, unreadable,
+        )
+        query.awaitTermination()
+        spark = stream_of(entity).sparkSession
+        if unreadable and io.folders(spark, layers.arrived(entity, True)):
+            kept = spark.read.schema("raw_value string, processing_date string").parquet(layers.arrived(entity, True))
+            return kept.where(F.col("processing_date") == processing_date).count()
+        return 0 if unreadable else io.read_arrived(spark, layers, entity, processing_date).count()
+
+    return _each("arrive", entities, lambda e: e.raw_table, lambda e: (take(e, False), take(e, True)))
+
+
 def clean_layer(
     spark: SparkSession,
     layers: io.Layers,
     processing_date: str,
     entities: Iterable[Entity] = tuple(ENTITIES.values()),
+    arrived: bool = False,
 ) -> list[Loaded]:
-    """Raw rows of a date -> cleaned rows of that date; contract breakers go to quarantine."""
+    """Raw rows of a date -> cleaned rows of that date; contract breakers go to quarantine.
+
+    With `arrived` the rows are those that the incremental ingest appended on the date.
+    """
 
     def load(entity: Entity) -> tuple[int, int]:
-        raw = io.read_raw(spark, layers.raw(entity, processing_date), entity)
+        if arrived:
+            raw = io.read_arrived(spark, layers, entity, processing_date)
+        else:
+            raw = io.read_raw(spark, layers.raw(entity, processing_date), entity)
         flagged = flag_broken(to_cleaned(raw, entity, processing_date), entity)
         watched, seen = io.counted(flagged, rejected=F.count_if("broken"))
         io.write_dated(valid_rows(watched), layers.cleaned(entity), processing_date)
@@ -212,25 +246,55 @@ def analytics_layer(
     return _each("analytics", [mart], lambda m: m.name, load)
 
 
+# Reports of a run: name -> function of segmentation, clients and offers of its date.
+REPORTS: dict[str, Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = {
+    "segmentation_report": lambda segmentation, clients, offers: reports.segmentation_report(segmentation),
+    "segment_drift": lambda segmentation, clients, offers: reports.segment_drift(segmentation),
+    "segment_summary": lambda segmentation, clients, offers: reports.segment_summary(clients),
+    "offers_by_type_segment": lambda segmentation, clients, offers: reports.offers_by_type_and_segment(offers),
+    "top_clients": lambda segmentation, clients, offers: reports.top_clients(offers),
+    "priority_grid": lambda segmentation, clients, offers: reports.priority_grid(offers),
+    "top_offer_types": lambda segmentation, clients, offers: reports.top_offer_types(offers),
+}
+
+
+def report_layer(
+    spark: SparkSession, layers: io.Layers, as_of: str, names: Iterable[str] = tuple(REPORTS)
+) -> list[Loaded]:
+    """The reports of a run, each stored in its order below its name and date.
+
+    They are made from the stored segmentation of the date, as the daily figures are, since
+    the marts lose rows of older runs when they are compacted. A report without rows is
+    reported as not ok.
+    """
+    segmentation = latest_snapshot(io.read_segmentation(spark, layers.segmentation), as_of)
+    clients = combine_segments(segmentation)
+    offers = expand_offers(clients)
+
+    def load(name: str) -> tuple[int, int]:
+        watched, seen = io.counted(REPORTS[name](segmentation, clients, offers))
+        io.replace_folder(watched, layers.report(name, as_of))
+        return seen.get["rows"], 0
+
+    return _each("report", names, str, load)
+
+
 def compact(spark: SparkSession, layers: io.Layers, mart: Mart, month: int) -> int:
     """Merge one month of a mart by its own rule and rewrite it clustered by its sort key.
 
-    The merged rows go to a scratch table first, because a folder cannot be read while it
-    is replaced; only then is the month overwritten. Rows keep the run date they came
-    with, or the newest one of their key where rows were added up.
+    The merged month is written beside the old one and takes its place when it is complete.
+    Rows keep the run date they came with, or the newest one of their key where rows were
+    added up.
 
     Rows are placed by ranges of the sort key and then of all other columns, so a client
     with very many rows is split over several tasks.
     """
     path = layers.mart(mart)
+    io.restore_month(spark, path, month)
     rows = io.read_mart(spark, path, mart).where(F.col("yyyymm") == month).drop("yyyymm")
     order = ["run_date", *mart.sort_by]
-    staged = scratch_path(spark, f"compact-{mart.name}")
     placed = merged(rows, mart).repartitionByRange(*order, *[c for c in mart.columns if c not in order])
-    placed.sortWithinPartitions(*order).write.parquet(staged)
-    watched, seen = io.counted(spark.read.schema(rows.schema).parquet(staged))
-    io.replace_month(watched.sortWithinPartitions(*order), path, month)
-    return seen.get["rows"]
+    return io.replace_month(placed.sortWithinPartitions(*order), path, month)
 
 
 # The marts that a run loads, and that are compacted after it.
@@ -250,6 +314,7 @@ def run_pipeline(
     at: str | None = None,
     compact_month: int | None = None,
     entities: Iterable[Entity] = tuple(ENTITIES.values()),
+    with_reports: bool = False,
 ) -> list[Loaded]:
     """All stages in dependency order for one date; running a date again replaces it.
 
@@ -257,20 +322,59 @@ def run_pipeline(
     `entities` limits what is ingested; the others keep what an earlier run cleaned.
     A failed table ends the run after its stage, as later stages need it. An empty one is
     reported as not ok, but the run goes on. With `compact_month` the marts of that month
-    are merged and rewritten at the end.
+    are merged and rewritten at the end; `with_reports` stores the reports of the date.
     """
     layers, at = io.Layers(root), run_stamp(as_of, at)
-    done: list[Loaded] = []
     stages = [
         lambda: ingest(spark, messages_of, layers, as_of, entities, at),
         lambda: clean_layer(spark, layers, as_of, entities),
         lambda: dedup_layer(spark, layers, as_of),
+    ]
+    return _in_order(stages + _after_dedup(spark, layers, as_of, at, compact_month, with_reports))
+
+
+def run_incremental(
+    spark: SparkSession,
+    stream_of: Callable[[Entity], DataFrame],
+    root: str,
+    as_of: str,
+    at: str | None = None,
+    compact_month: int | None = None,
+    entities: Iterable[Entity] = tuple(ENTITIES.values()),
+    with_reports: bool = False,
+) -> list[Loaded]:
+    """As `run_pipeline`, but reads only messages that came since the last incremental run.
+
+    `stream_of` gives the stream of an entity's messages. Dedup takes all dates, as each holds
+    what arrived on it; an entity without new messages is reported as not ok, and keeps its rows.
+    """
+    layers, at = io.Layers(root), run_stamp(as_of, at)
+    stages = [
+        lambda: arrive(stream_of, layers, as_of, entities),
+        lambda: clean_layer(spark, layers, as_of, entities, arrived=True),
+        lambda: dedup_layer(spark, layers),
+    ]
+    return _in_order(stages + _after_dedup(spark, layers, as_of, at, compact_month, with_reports))
+
+
+def _after_dedup(
+    spark: SparkSession, layers: io.Layers, as_of: str, at: str, compact_month: int | None, with_reports: bool
+) -> list[Callable[[], list[Loaded]]]:
+    stages = [
         lambda: segmentation_layer(spark, layers, as_of, at),
         lambda: mart_layer(spark, layers, as_of, at),
         lambda: analytics_layer(spark, layers, as_of, at),
     ]
+    if with_reports:
+        stages.append(lambda: report_layer(spark, layers, as_of))
     if compact_month is not None:
         stages.append(lambda: compact_layer(spark, layers, compact_month))
+    return stages
+
+
+def _in_order(stages: Iterable[Callable[[], list[Loaded]]]) -> list[Loaded]:
+    """Run stages until one has a failed table."""
+    done: list[Loaded] = []
     for stage in stages:
         done += stage()
         if any(line.error for line in done):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import ENTITIES, MARTS, Entity
-from .layers import Layers, read_cleaned
+from .layers import Layers, folders, read_cleaned
 
 
 def create_external_table(spark: SparkSession, name: str, ddl: str, path: str, partitioned_by: str = "") -> None:
@@ -40,7 +40,8 @@ def create_views(spark: SparkSession, layers: Layers) -> list[str]:
 
 
 def create_mart_tables(spark: SparkSession, layers: Layers, prefix: str = "") -> list[str]:
-    """Empty or existing tables of all five marts, partitioned by month and run date."""
+    """Empty or existing tables of all five marts, partitioned by month and run date; what has
+    been loaded already is registered with them."""
     names = []
     for mart in MARTS.values():
         create_external_table(
@@ -50,6 +51,8 @@ def create_mart_tables(spark: SparkSession, layers: Layers, prefix: str = "") ->
             layers.mart(mart),
             "yyyymm, run_date",
         )
+        if folders(spark, layers.mart(mart)):
+            recover_partitions(spark, f"{prefix}{mart.name}")
         names.append(f"{prefix}{mart.name}")
     return names
 

@@ -5,10 +5,13 @@ cleaned/<table>/processing_date=<date>     a run replaces its own date only
 structured/<table>                         replaced as a whole
 segmentation/processing_date=<date>        history kept
 marts/<table>/yyyymm=<month>/run_date=<d>  a run replaces its own date only
+reports/<report>/run_date=<date>           a run replaces its own date only
+arrived/<table>/processing_date=<date>     appended by the incremental ingest
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -45,6 +48,15 @@ class Layers:
     def mart(self, mart: Mart) -> str:
         return f"{self.root}/marts/{mart.name}"
 
+    def report(self, name: str, run_date: str) -> str:
+        return f"{self.root}/reports/{name}/run_date={run_date}"
+
+    def arrived(self, entity: Entity, unreadable: bool = False) -> str:
+        return f"{self.root}/{'arrived_unreadable' if unreadable else 'arrived'}/{entity.raw_table}"
+
+    def arrived_log(self, entity: Entity, unreadable: bool = False) -> str:
+        return f"{self.root}/checkpoints/{'arrived_unreadable' if unreadable else 'arrived'}/{entity.raw_table}"
+
 
 def counted(df: DataFrame, **extra: Column) -> tuple[DataFrame, Observation]:
     """The same rows plus an observation that counts them while they are written."""
@@ -120,6 +132,15 @@ def write_full_refresh(df: DataFrame, path: str, compression: str = "zstd") -> i
     return seen.get["rows"]
 
 
+def read_arrived(spark: SparkSession, layers: Layers, entity: Entity, processing_date: str) -> DataFrame:
+    """Rows that the incremental ingest appended on a date; none if nothing has arrived yet."""
+    path = layers.arrived(entity)
+    rows = read_raw(spark, path, entity) if folders(spark, path) else spark.createDataFrame(
+        [], f"{entity.ddl}, ingestion_timestamp timestamp, processing_date string"
+    )
+    return rows.where(F.col("processing_date") == processing_date)
+
+
 def read_structured(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
     return spark.read.schema(entity.schema).parquet(path)
 
@@ -166,11 +187,43 @@ def write_mart(df: DataFrame, path: str, mart: Mart, run_date: str) -> int:
     return seen.get["rows"]
 
 
-def replace_month(df: DataFrame, path: str, month: int) -> None:
-    """Replace one month of a mart, with the run dates that have no rows any more."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("run_date").parquet(
-        f"{path}/yyyymm={month}"
-    )
+def replace_month(df: DataFrame, path: str, month: int) -> int:
+    """Replace one month of a mart, with the run dates that have no rows any more; gives the number of rows.
+
+    The new month is complete beside the old one, in a folder that readers skip, before they
+    change places; `df` may read the month itself. A failed write leaves the old month as it
+    was, and a change of places that broke off halfway is undone by the next call.
+    """
+    spark = df.sparkSession
+    place, mark = f"{path}/yyyymm={month}", uuid.uuid4().hex
+    new, old = f"{path}/_new-{month}-{mark}", f"{path}/_old-{month}-{mark}"
+    watched, seen = counted(df)
+    watched.write.partitionBy("run_date").parquet(new)
+    if folders(spark, place):
+        move(spark, place, old)
+    move(spark, new, place)
+    remove(spark, old)
+    return seen.get["rows"]
+
+
+def restore_month(spark: SparkSession, path: str, month: int) -> None:
+    """Put the old month back where `replace_month` was stopped between its two moves."""
+    kept = folders(spark, f"{path}/_old-{month}-*")
+    if kept and not folders(spark, f"{path}/yyyymm={month}"):
+        move(spark, kept[0], f"{path}/yyyymm={month}")
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; a step of the file system's directory, no data is copied on HDFS."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(source).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not system.rename(path(source), path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def read_mart(spark: SparkSession, path: str, mart: Mart) -> DataFrame:

@@ -163,3 +163,83 @@ def test_totals_of_a_report(spark):
     row = pipeline.load_totals(pipeline.load_report(spark, lines)).first()
     assert (row.successful_tables, row.failed_tables, row.total_rows, row.total_errors) == (1, 1, 90, 10)
     assert (row.rows_per_second, row.error_rate_percent) == (45.0, 10.0)
+
+
+def test_reports_of_a_date_survive_compaction(spark, finished):
+    layers, _ = finished
+    lines = pipeline.report_layer(spark, layers, "2024-06-29")
+    assert {x.table for x in lines} == set(pipeline.REPORTS) and all(x.ok for x in lines), lines
+    read = lambda name: spark.read.parquet(layers.report(name, "2024-06-29")).collect()
+    assert sum(r.clients_count for r in read("segment_summary")) == 150
+    assert sum(r.offers_count for r in read("priority_grid")) == 450
+    assert len(read("top_clients")) == 10
+
+
+def test_order_of_the_reports(spark, finished):
+    layers, _ = finished
+    segmentation = latest_snapshot(io.read_segmentation(spark, layers.segmentation), "2024-06-30")
+    clients = pipeline.combine_segments(segmentation)
+    offers = pipeline.expand_offers(clients)
+    made = {name: make(segmentation, clients, offers).collect() for name, make in pipeline.REPORTS.items()}
+    names = [r.metric for r in made["segmentation_report"]]
+    assert names == sorted(names, key=lambda n: (n is None, n or ""))
+    for name, column in (
+        ("segment_summary", "total_value"),
+        ("offers_by_type_segment", "total_expected_revenue"),
+        ("top_clients", "total_expected_revenue"),
+        ("top_offer_types", "total_expected_revenue"),
+    ):
+        values = [r[column] for r in made[name]]
+        assert values == sorted(values, reverse=True) and len(values) > 1, name
+    grid = [(r.priority_level, r.offer_priority) for r in made["priority_grid"]]
+    assert grid == sorted(grid)
+
+
+def test_compaction_that_fails_leaves_the_month_whole(spark, tmp_path, monkeypatch):
+    path, month = f"{tmp_path}/mart", 202406
+    day = "DATE '2024-06-30' AS run_date"
+    spark.sql(f"SELECT 1 AS n, {day}").write.partitionBy("run_date").parquet(f"{path}/yyyymm={month}")
+    read = lambda: sorted(r.n for r in spark.read.parquet(path).collect())
+
+    broken = spark.sql(f"SELECT raise_error('lost') AS n, {day}")
+    with pytest.raises(Exception, match="lost"):
+        io.replace_month(broken, path, month)
+    assert read() == [1]
+
+    moves, move = [], io.move
+
+    def stops_at_the_second(*args):
+        moves.append(args)
+        if len(moves) == 2:
+            raise OSError("stopped")
+        move(*args)
+
+    monkeypatch.setattr(io, "move", stops_at_the_second)
+    with pytest.raises(OSError, match="stopped"):
+        io.replace_month(spark.sql(f"SELECT 2 AS n, {day}"), path, month)
+    monkeypatch.setattr(io, "move", move)
+    io.restore_month(spark, path, month)
+    assert read() == [1]
+    assert io.replace_month(spark.sql(f"SELECT explode(array(2, 3)) AS n, {day}"), path, month) == 2
+    assert read() == [2, 3]
+
+
+def test_increment_without_new_messages_keeps_the_rows(spark, tiny, tmp_path):
+    from clientlens.__main__ import main
+
+    for name, e in ENTITIES.items():
+        envelope.write_envelope(spark_entity(spark, tiny, name), f"{tmp_path}/messages", e.topic)
+    bad = spark.createDataFrame([("not json",)], "value string")
+    envelope.to_envelope(bad, ENTITIES["payments"].topic).withColumn("value", F.lit(b"not json")).drop("topic").write.mode(
+        "append"
+    ).parquet(envelope.topic_folder(f"{tmp_path}/messages", ENTITIES["payments"].topic))
+    common = ["--root", f"{tmp_path}/layers", "--messages", f"{tmp_path}/messages"]
+    assert main(["increment", "2024-06-29", *common]) == 0
+    layers = io.Layers(f"{tmp_path}/layers")
+    aside = spark.read.parquet(layers.arrived(ENTITIES["payments"], unreadable=True))
+    assert [r.raw_value for r in aside.collect()] == ["not json"]
+    # Nothing has arrived: the status says so, and the later tables are the same.
+    assert main(["increment", "2024-06-30", *common]) == 1
+    for day in ("2024-06-29", "2024-06-30"):
+        clients = io.read_mart(spark, layers.mart(CLIENTS), CLIENTS).where(F.col("run_date") == F.lit(day).cast("date"))
+        assert clients.count() == 150

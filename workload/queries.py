@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce, wraps
@@ -120,9 +121,9 @@ def aggregate_one(name: str, spark: SparkSession, sf: str) -> DataFrame:
 # --- sources and sinks ------------------------------------------------------
 
 
-def write_messages(spark: SparkSession, sf: str, names=tuple(ENTITIES), feed=None) -> str:
-    """All entities as file-based topics in one folder."""
-    path = scratch_path(spark, "messages")
+def write_messages(spark: SparkSession, sf: str, names=tuple(ENTITIES), feed=None, path: str | None = None) -> str:
+    """All entities as file-based topics in one folder, a new one if none is given."""
+    path = path or scratch_path(spark, "messages")
 
     def write(name: str) -> None:
         rows = spark_entity(spark, sf, name)
@@ -374,6 +375,122 @@ def rerun_replaces(spark: SparkSession, sf: str) -> DataFrame:
     return _rows_by_layer(spark, io.Layers(root))
 
 
+def incremental_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Offer mart after two arrivals: plain rows on the first date, replayed and untidy ones on the second."""
+    path, root = write_messages(spark, sf), scratch_path(spark, "increments")
+
+    def stream(entity: Entity) -> DataFrame:
+        return stream_files(spark, path, entity.topic)
+
+    lines = pipeline.run_incremental(spark, stream, root, EARLIER, AT_EARLIER)
+    write_messages(spark, sf, feed=arriving, path=path)
+    lines += pipeline.run_incremental(spark, stream, root, AS_OF, AT)
+    failed = [line for line in lines if line.error]
+    if failed:
+        raise RuntimeError(f"run failed: {failed}")
+    mart = MARTS["targeted_offers"]
+    return plain(io.read_mart(spark, io.Layers(root).mart(mart), mart).where(F.col("run_date") == F.lit(AS_OF).cast("date")))
+
+
+# Report -> its key columns, its count and its total.
+REPORT_COLUMNS = {
+    "segmentation_report": (["metric"], "value", None),
+    "segment_drift": (["comparison"], "clients", None),
+    "segment_summary": (["combined_segment"], "clients_count", "total_value"),
+    "offers_by_type_segment": (["offer_type", "combined_segment"], "offers_count", "total_expected_revenue"),
+    "top_clients": (["client_id"], "offers_count", "total_expected_revenue"),
+    "priority_grid": (["priority_level", "offer_priority"], "offers_count", "total_revenue"),
+    "top_offer_types": (["offer_type"], "offers_count", "total_expected_revenue"),
+}
+
+
+def stored_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """All reports of a date, made from its stored segmentation and read back."""
+    layers = io.Layers(scratch_path(spark, "reports"))
+    io.write_segmentation(segmented(spark, sf), layers.segmentation, AS_OF)
+    failed = [line for line in pipeline.report_layer(spark, layers, AS_OF) if line.error]
+    if failed:
+        raise RuntimeError(f"reports failed: {failed}")
+    parts = [
+        spark.read.parquet(layers.report(name, AS_OF)).select(
+            F.lit(name).alias("report"),
+            F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key"),
+            F.col(count).cast("bigint").alias("row_count"),
+            (F.col(total) if total else F.lit(None)).cast("double").alias("total"),
+        )
+        for name, (keys, count, total) in REPORT_COLUMNS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def catalog_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned layers as catalog tables: registered on the first date, the second one recovered later."""
+    layers, mark = io.Layers(scratch_path(spark, "catalog")), uuid.uuid4().hex
+
+    def write(entity: Entity) -> DataFrame:
+        name = f"ext_{entity.structured_table}_{mark}"
+        for day in (EARLIER, AS_OF):
+            rows = to_cleaned(spark_entity(spark, sf, entity.name), entity, day)
+            io.write_cleaned(rows, layers.cleaned(entity), day)
+            if day == EARLIER:
+                catalog.register_cleaned(spark, layers, entity, name)
+        catalog.recover_partitions(spark, name)
+        found = spark.table(name).groupBy("processing_date").agg(F.count("*").alias("row_count"))
+        return found.select(F.lit(entity.structured_table).alias("table_name"), "processing_date", "row_count")
+
+    return reduce(DataFrame.unionByName, [write(e) for e in ENTITIES.values()])
+
+
+def mart_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalog tables of all marts after a load of clients and daily figures; rows by table and month."""
+    layers, prefix = io.Layers(scratch_path(spark, "mart-tables")), f"m{uuid.uuid4().hex}_"
+    rows = client_mart(spark, sf)
+    io.write_mart(rows, layers.mart(MARTS["marketing_clients"]), MARTS["marketing_clients"], AS_OF)
+    daily = MARTS["marketing_analytics_daily"]
+    io.write_mart(reports.daily_segment_metrics(rows, AS_OF, AT), layers.mart(daily), daily, AS_OF)
+    parts = []
+    for name in catalog.create_mart_tables(spark, layers, prefix):
+        found = spark.table(name).groupBy("yyyymm").agg(F.count("*").alias("row_count"))
+        parts.append(found.select(F.lit(name.removeprefix(prefix)).alias("table_name"), "yyyymm", "row_count"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def table_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts that the optimizer has of structured tables after they were analysed."""
+    layers, mark = io.Layers(scratch_path(spark, "statistics")), uuid.uuid4().hex
+    parts = []
+    for entity in ENTITIES.values():
+        name = f"st_{entity.structured_table}_{mark}"
+        io.write_full_refresh(spark_entity(spark, sf, entity.name).select(*entity.columns), layers.structured(entity))
+        catalog.create_external_table(spark, name, entity.ddl, layers.structured(entity))
+        catalog.analyze(spark, name)
+        said = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Statistics'")
+        rows = F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint")
+        parts.append(said.select(F.lit(entity.label).alias("table_name"), rows.alias("row_count")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def campaigns(spark: SparkSession, sf: str) -> DataFrame:
+    """Campaign results: one campaign per segment and city, in an older and a newer version."""
+    measured = combined(spark, sf).groupBy("combined_segment", "priority_level").agg(F.count("*").alias("n"))
+    version = F.explode(F.array(F.lit(AT_EARLIER), F.lit(AT))).alias("created_at")
+    rows = measured.select("*", version).select(
+        F.concat(F.lit("C"), F.col("priority_level").cast("string"), F.lit("-"), F.col("combined_segment")).alias("campaign_id"),
+        F.lit("summer").alias("campaign_name"),
+        F.col("combined_segment").alias("target_segment"),
+        F.lit("2024-06-01").alias("start_date"),
+        F.lit(AS_OF).alias("end_date"),
+        F.col("n").alias("total_clients"),
+        F.when(F.col("created_at") == AT, F.col("n")).otherwise(0).alias("response_count"),
+        F.lit(1.0).alias("response_rate"),
+        F.lit(0).alias("revenue_generated"),
+        F.lit(0.0).alias("roi"),
+        "created_at",
+    )
+    mart = MARTS["marketing_campaign_results"]
+    return plain(replace_latest(io.to_mart(rows, mart), mart)).drop("response_rate", "roi")
+
+
 def run_report(spark: SparkSession, sf: str) -> DataFrame:
     lines, _ = run(spark, sf)
     return pipeline.load_report(spark, lines).drop("seconds", "error")
@@ -417,6 +534,12 @@ def all_queries() -> dict[str, Query]:
         "offer_ids_uneven": offer_ids_uneven,
         "run_one_topic": run_one_topic,
         "rerun_replaces": rerun_replaces,
+        "incremental_run": incremental_run,
+        "stored_reports": stored_reports,
+        "catalog_partitions": catalog_partitions,
+        "mart_tables": mart_tables,
+        "table_statistics": table_statistics,
+        "campaign_latest": campaigns,
         "client_mart": client_mart_load,
         "offer_mart": offer_mart,
         "segmentation_report": lambda s, d: reports.segmentation_report(segmented(s, d)),
