@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientlens.llm import decontaminate, embeddings, langid, licenses, ngrams, packing, pii, sharding, urls, warc
+from clientlens.llm import (
+    decontaminate, embeddings, langid, licenses, ngrams, packing, pii, runs, sharding, urls, warc,
+)
 from clientlens.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -87,6 +89,28 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the documents, after one text in ten has been made periodic."""
+    docs = table(spark, sf_dir, "documents")
+    mark = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    text = F.when(mark % 10 == 0, runs.periodic(F.col("text"), F.floor(mark / 10))).otherwise(F.col("text"))
+    found = runs.find_runs(docs.select("doc_id", text.alias("text")))
+    # The largest exponent, compared as whole numbers; runs come by start and period, so the first one stays.
+    better = lambda best, r: F.when(
+        r["length"] * best["period"] > best["length"] * r["period"], r
+    ).otherwise(best)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    found = found.withColumn("best", F.aggregate("runs", F.get("runs", F.lit(0)), better))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.floor(F.expr("best.length * 1000 div best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -101,6 +125,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_embedding_duplicates,
             op9_warc,
             op10_ngram_join,
+            op13_periodic_runs,
         )
     }
 
