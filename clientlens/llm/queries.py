@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clientlens.llm import (
-    decontaminate, embeddings, langid, licenses, ngrams, packing, pii, runs, sharding, urls, warc,
+    decontaminate, embeddings, langid, licenses, ngrams, packing, pii, runs, sharding, topk, urls, variants,
+    warc,
 )
 from clientlens.llm.common import table
 
@@ -89,6 +91,28 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def misspelt(doc_id: int) -> Callable[[str], str]:
+    """Takes a letter out of some runs of a document; id and run decide which."""
+    begun = zlib.crc32(f"{doc_id}:".encode())
+
+    def change(run: str) -> str:
+        mark = zlib.crc32(run.encode(), begun)
+        at = mark % len(run)
+        return run if mark % 97 else run[:at] + run[at + 1 :]
+
+    return change
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of at least 5 letters and 3 occurrences, each with the form that it is a variant of."""
+    counts = variants.count_words(table(spark, sf_dir, "documents"), least_letters=5, alter=misspelt)
+    return variants.group_variants(counts.where("n >= 3"), ratio=2)
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of the documents, after one text in ten has been made periodic."""
     docs = table(spark, sf_dir, "documents")
@@ -125,6 +149,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_embedding_duplicates,
             op9_warc,
             op10_ngram_join,
+            op11_spelling_variants,
+            op12_top_k,
             op13_periodic_runs,
         )
     }
@@ -201,9 +227,24 @@ SELECT n.doc_id, coalesce(c.n, 0) AS n_links, n.class_id FROM named n LEFT JOIN
 """
 
 
+TOP_K_SQL = """
+WITH good AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+    FROM good q JOIN good c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op6_url_filter": URL_SQL,
         "op8_embedding_duplicates": EMBEDDING_SQL,
         "op10_ngram_join": NGRAM_SQL,
+        "op12_top_k": TOP_K_SQL,
     }
