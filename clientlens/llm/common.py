@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clientlens.workspace import scratch_path
 
@@ -27,6 +27,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hash_bound(most: int, have: int) -> int:
+    """Hashes of 63 bits up to this are about `most` of `have`, however many there are."""
+    return min((most << 63) // max(have, 1), (1 << 63) - 1)
+
+
+def drawn(rows: DataFrame, column: str, most: int) -> DataFrame:
+    """Distinct rows with about `most` different values of a column at the most, chosen by their hash.
+
+    Values are counted, not rows, so copies of one value take one place and cannot crowd out the others. None
+    of a table with values is an error, not an empty sample.
+    """
+    have = rows.agg(F.approx_count_distinct(column)).first()[0]
+    if not have:
+        return rows.limit(0)
+    mark = F.shiftrightunsigned(F.xxhash64(column, F.lit("drawn")), 1)
+    chosen = staged(rows.where(mark <= F.lit(hash_bound(most, have))).distinct(), "drawn")
+    if not chosen.limit(1).count():
+        raise ValueError(f"no row was drawn from about {have} values of {column}")
+    return chosen
+
+
 class Memo(dict):
     """Values of a function by its argument, forgotten all at once when more than `most` are held."""
 

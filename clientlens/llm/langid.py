@@ -9,44 +9,79 @@ A word is a run of letters, lower-cased; one of over `WORD` letters is scored in
 
 Cases: a null text or one without a letter is `und` with score 0, and so is every text if nothing was learned;
 ties go to the language that sorts first; null ids and repeated rows are answered like any other; documents
-without text or language are not learned from; columns other than those named are not looked at.
+without text or language are not learned from, and a repeated text of a language counts once; columns other than
+those named are not looked at.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
-from clientlens.llm.common import slices, staged
+from clientlens.llm.common import drawn, slices, staged
 
-LETTERS = re.compile(r"[^\W\d_]+")
 WORD = 40
 # Marks the beginning of a word in the vocabulary (fixed value).
 BEGIN = "▁"
+# Probabilities of segmentations are held times this for each letter: 40 letters of the rarest pieces stay
+# above the smallest number, and 40 of the most frequent ones below the largest.
+SCALE = 1e4
 
 
-def load_pieces(path: str) -> dict[str, int]:
-    """The vocabulary's pieces that are words or parts of words, numbered; 0 stands for any letter it lacks."""
+class Pieces:
+    """The pieces that are words or parts of words, as a trie in arrays; number 0 is any letter that is none.
+
+    An edge's key is its upper node and its letter, so many words are looked up letter by letter at a time.
+    """
+
+    def __init__(self, pieces: list[str]) -> None:
+        edges: dict[int, int] = {}
+        number = [0]
+        for n, piece in enumerate(pieces, start=1):
+            node = 0
+            for letter in piece:
+                node = edges.setdefault((node << 21) | ord(letter), len(edges) + 1)
+                if node == len(number):
+                    number.append(0)
+            number[node] = n
+        self.count = len(pieces) + 1
+        self.longest = max(map(len, pieces), default=0)
+        self.keys = np.array(sorted(edges), dtype=np.int64)
+        self.below = np.array([edges[k] for k in self.keys.tolist()], dtype=np.int64)
+        self.number = np.array(number, dtype=np.int64)
+
+    def step(self, nodes: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether there is such an edge, the node below it)."""
+        keys = (nodes << 21) | letters
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        return (self.keys[at] == keys, self.below[at]) if len(self.keys) else (np.zeros(len(keys), bool), nodes)
+
+
+def load_pieces(path: str) -> Pieces:
     model = SentencePieceProcessor(model_file=path)
-    pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    kept = [p for p in pieces if LETTERS.fullmatch(p.removeprefix(BEGIN)) and p == p.lower()]
-    return {p: n for n, p in enumerate([*dict.fromkeys(kept), BEGIN], start=1)}
+    found = (model.id_to_piece(i) for i in range(model.get_piece_size()))
+    word = [p for p in found if p.removeprefix(BEGIN).isalpha() and p == p.lower()]
+    return Pieces([*dict.fromkeys(word), BEGIN])
 
 
-def words_of(text: str) -> list[str]:
-    """Words of a text, each with its mark; long ones in parts."""
-    found = []
-    for word in LETTERS.findall(text.lower()):
-        found += [BEGIN + word[i : i + WORD] for i in range(0, len(word), WORD)]
-    return found
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, one after the other, and the text that each stands in."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"\PL+")
+    flat, owner = lists.flatten(), pc.list_parent_indices(lists)
+    full = pc.greater(pc.binary_length(flat), 0)
+    return flat.filter(full), owner.filter(full).to_numpy()
+
+
+def parts_of(word: str) -> list[str]:
+    """A word with its mark, in parts if it is long."""
+    return [BEGIN + word[i : i + WORD] for i in range(0, len(word), WORD)]
 
 
 @dataclass
@@ -60,19 +95,32 @@ class Lattice:
     length: np.ndarray
 
     @classmethod
-    def of(cls, words: list[str], pieces: dict[str, int], longest: int) -> Lattice:
-        edges = []
-        get, many, wide = pieces.get, len(words), len(pieces) + 1
-        for w, word in enumerate(words):
-            for i in range(len(word)):
-                for j in range(i + 1, min(len(word), i + longest) + 1):
-                    p = get(word[i:j])
-                    if p is not None or j == i + 1:
-                        edges.append(((j * many + w) * 64 + i) * wide + (p or 0))
-        rest, piece = np.divmod(np.sort(np.array(edges, dtype=np.int64)), wide)
-        rest, start = np.divmod(rest, 64)
-        end, word = np.divmod(rest, max(many, 1))
-        return cls(word, start, end, piece, np.array([len(w) for w in words], dtype=np.int64))
+    def of(cls, words: list[str], pieces: Pieces) -> Lattice:
+        length = np.array([len(w) for w in words], dtype=np.int64)
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), length)
+        place = np.arange(len(letters)) - np.repeat(np.cumsum(length) - length, length)
+        at, node = np.arange(len(letters)), np.zeros(len(letters), dtype=np.int64)
+        found = []
+        for size in range(1, max(pieces.longest, 1) + 1):
+            inside = place[at] + size <= length[word[at]]
+            at, node = at[inside], node[inside]
+            known, below = pieces.step(node, letters[at + size - 1])
+            number = np.where(known, pieces.number[below], 0)
+            # A single letter is an edge in any case.
+            edge = (number > 0) | (size == 1)
+            found.append(np.stack([at[edge], np.full(edge.sum(), size), number[edge]]))
+            at, node = at[known], below[known]
+        at, size, piece = np.concatenate(found, axis=1) if found else np.zeros((3, 0), dtype=np.int64)
+        end = place[at] + size
+        order = np.lexsort((at, word[at], end))
+        at = at[order]
+        return cls(word[at], place[at], end[order], piece[order], length)
+
+    def scaled(self, weights: np.ndarray) -> np.ndarray:
+        """Weights of the edges, times SCALE for each letter."""
+        factor = SCALE ** (self.end - self.start)
+        return weights * factor.reshape(-1, *[1] * (weights.ndim - 1))
 
     def forward(self, weight: np.ndarray) -> np.ndarray:
         """alpha[word, place, ...]: summed probability of the first `place` letters; weight: by edge."""
@@ -105,12 +153,9 @@ class Model:
     """Probability of each piece in each language."""
 
     languages: list[str]
-    pieces: dict[str, int]
+    pieces: Pieces
     weights: np.ndarray  # [piece, language]
 
-    def longest(self) -> int:
-        return max(map(len, self.pieces))
-
 
 def _probabilities(counts: np.ndarray, smoothing: float) -> np.ndarray:
     counts = counts + smoothing
@@ -127,46 +172,42 @@ def fit(
     rounds: int = 3,
     smoothing: float = 0.02,
 ) -> Model:
-    """Learn from about `fit_rows` rows at most, chosen by a hash of their text (the bound of the sample).
+    """Learn from about `fit_rows` different texts at most, chosen by their hash (the bound of the sample).
 
     Word counts by language stay in Spark; the driver gets one number for each piece and language.
     """
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
-    have = rows.count()
-    chance = F.pmod(F.xxhash64("text", F.lit("fit")), F.lit(1_000_000))
-    rows = rows.where(chance < F.lit(int(1_000_000 * min(1.0, fit_rows / max(have, 1)))))
+    rows = drawn(rows, "text", fit_rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            seen: dict[str, Counter] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                seen.setdefault(lang, Counter()).update(words_of(text))
-            flat = [(lang, word, n) for lang, words in seen.items() for word, n in words.items()]
-            columns = list(zip(*flat)) if flat else [(), (), ()]
-            types = (pa.string(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["lang", "word", "n"])
+            words, owner = words_of(batch.column("text"))
+            lang = batch.column("lang").take(pa.array(owner))
+            counts = pa.table([lang, words], ["lang", "word"]).group_by(["lang", "word"]).aggregate([([], "count_all")])
+            yield from counts.rename_columns(["lang", "word", "n"]).combine_chunks().to_batches()
 
     counts = rows.mapInArrow(count, "lang string, word string, n long")
     counts = staged(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
     languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
     pieces = load_pieces(vocabulary_path)
-    model = Model(languages, pieces, np.full((len(pieces) + 1, len(languages)), 1.0 / (len(pieces) + 1)))
-    longest = model.longest()
+    model = Model(languages, pieces, np.full((pieces.count, len(languages)), 1.0 / pieces.count))
     for _ in range(rounds if languages else 0):
         weights, column = model.weights, {lang: k for k, lang in enumerate(languages)}
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             totals = np.zeros_like(weights)
             for batch in batches:
-                for part in (batch.slice(i, 5000) for i in range(0, batch.num_rows, 5000)):
-                    lattice = Lattice.of(part.column("word").to_pylist(), pieces, longest)
-                    k = np.array([column[lang] for lang in part.column("lang").to_pylist()], dtype=np.int64)
-                    n = part.column("n").to_numpy(zero_copy_only=False)
-                    p = weights[lattice.piece, k[lattice.word]]
+                for rows in (batch.slice(i, 5000) for i in range(0, batch.num_rows, 5000)):
+                    parts = [parts_of(w) for w in rows.column("word").to_pylist()]
+                    times = [len(p) for p in parts]
+                    lattice = Lattice.of([p for ps in parts for p in ps], pieces)
+                    k = np.repeat([column[lang] for lang in rows.column("lang").to_pylist()], times)
+                    n = np.repeat(rows.column("n").to_numpy(zero_copy_only=False), times)
+                    p = lattice.scaled(weights[lattice.piece, k[lattice.word]])
                     alpha, beta = lattice.forward(p), lattice.backward(p)
                     whole = alpha[np.arange(len(k)), lattice.length]
                     used = alpha[lattice.word, lattice.start] * p * beta[lattice.word, lattice.end]
-                    used *= (n / np.maximum(whole, 1e-300))[lattice.word]
+                    used *= (n / whole)[lattice.word]
                     np.add.at(totals, (lattice.piece, k[lattice.word]), used)
             at, k = np.nonzero(totals)
             yield pa.RecordBatch.from_arrays(
@@ -182,64 +223,58 @@ def fit(
 
 
 class Scorer:
-    """Log-probabilities of texts in every language; what stands between white space is scored once and
-    remembered, `most` at a time."""
-
-    def __init__(self, model: Model, most: int = 500_000, part: int = 200_000) -> None:
-        self.model, self.most, self.part, self.longest = model, most, part, model.longest()
-        self.place: dict[str, int] = {}
-        self.table = np.zeros((1024, len(model.languages) + 1), dtype=np.float32)  # log-probabilities; words
-
-    def _learn(self, chunks: list[str]) -> None:
-        words = [words_of(c) for c in chunks]
-        flat = list(dict.fromkeys(w for ws in words for w in ws))
-        scores = np.zeros((len(flat) + 1, self.table.shape[1]))
-        for i in range(0, len(flat), 4000):
-            lattice = Lattice.of(flat[i : i + 4000], self.model.pieces, self.longest)
-            alpha = lattice.forward(self.model.weights[lattice.piece])
-            whole = alpha[np.arange(len(lattice.length)), lattice.length]
-            scores[i : i + len(whole), :-1] = np.log(np.maximum(whole, 1e-300))
-        scores[:-1, -1] = 1
-        at = {w: i for i, w in enumerate(flat)}
-        begun, ended = len(self.place), len(self.place) + len(chunks)
-        if ended > len(self.table):
-            grown = np.zeros((2 * ended, self.table.shape[1]), dtype=np.float32)
-            grown[: len(self.table)] = self.table
-            self.table = grown
-        # Most have one word; a chunk with more gets their sum, one with none the zero row at the end.
-        self.table[begun:ended] = scores[[at[ws[0]] if ws else -1 for ws in words]]
-        for n, ws in enumerate(words, start=begun):
-            if len(ws) > 1:
-                self.table[n] = scores[[at[w] for w in ws]].sum(axis=0)
-        self.place.update(zip(chunks, range(begun, ended)))
-
-    def sums(self, texts: list[str]) -> np.ndarray:
-        """By text: log-probability in each language, then the number of words."""
-        out = np.zeros((len(texts), self.table.shape[1]))
-        held: list[tuple[int, list[str]]] = []
-        size = 0
-        for t, text in enumerate(texts):
-            chunks = text.split()
-            for i in range(0, len(chunks), self.part):
-                held.append((t, chunks[i : i + self.part]))
-                size += len(held[-1][1])
-                if size >= self.part:
-                    self._add(held, out)
-                    held, size = [], 0
-        self._add(held, out)
+    """Log-probabilities of texts in every language.
+
+    Scores of words are remembered in two generations of at most `most` words and `letters` letters each: when
+    the younger is full it becomes the older one, and words that are met again move to the younger. Words of
+    over `long` letters are not remembered.
+    """
+
+    def __init__(self, model: Model, most: int = 400_000, letters: int = 8_000_000, long: int = 200) -> None:
+        self.model, self.most, self.letters, self.long = model, most, letters, long
+        self.older: dict[str, bytes] = {}
+        self.younger: dict[str, bytes] = {}
+        self.held = 0
+
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """By word: log-probability in each language, then the number of its parts."""
+        out = np.zeros((len(words), len(self.model.languages) + 1), dtype=np.float32)
+        for i in range(0, len(words), 4000):
+            parts = [parts_of(w) for w in words[i : i + 4000]]
+            owner = np.repeat(np.arange(i, i + len(parts)), [len(p) for p in parts])
+            lattice = Lattice.of([p for ps in parts for p in ps], self.model.pieces)
+            alpha = lattice.forward(lattice.scaled(self.model.weights[lattice.piece]))
+            whole = np.log(alpha[np.arange(len(owner)), lattice.length]) - lattice.length[:, None] * np.log(SCALE)
+            np.add.at(out, owner, np.concatenate([whole, np.ones((len(owner), 1))], axis=1))
         return out
 
-    def _add(self, held: list[tuple[int, list[str]]], out: np.ndarray) -> None:
-        chunks = set().union(*(c for _, c in held))
-        new = chunks.difference(self.place)
-        if len(self.place) + len(new) > self.most:
-            self.place.clear()
-            new = chunks
-        if new:
-            self._learn(list(new))
-        for t, c in held:
-            places = np.fromiter(map(self.place.__getitem__, c), dtype=np.int64, count=len(c))
-            out[t] += self.table[places].sum(axis=0, dtype=np.float64)
+    def words(self, words: list[str]) -> np.ndarray:
+        """The scores of different words."""
+        found = [self.younger.get(w) for w in words]
+        fresh = [n for n, s in enumerate(found) if s is None]
+        for n in fresh:
+            found[n] = self.older.get(words[n])
+        new = [n for n in fresh if found[n] is None]
+        for n, scores in zip(new, self._learn([words[n] for n in new])):
+            found[n] = scores.tobytes()
+        for n in fresh:
+            if len(words[n]) <= self.long:
+                if len(self.younger) >= self.most or self.held >= self.letters:
+                    self.older, self.younger, self.held = self.younger, {}, 0
+                self.younger[words[n]] = found[n]
+                self.held += len(words[n])
+        return np.frombuffer(b"".join(found), dtype=np.float32).reshape(len(words), -1)
+
+    def sums(self, texts: pa.Array) -> np.ndarray:
+        """By text: log-probability in each language, then the number of words."""
+        words, owner = words_of(texts)
+        out = np.zeros((len(texts), len(self.model.languages) + 1))
+        if len(words):
+            coded = words.dictionary_encode()
+            scores, at = self.words(coded.dictionary.to_pylist()), coded.indices.to_numpy()
+            for k in range(out.shape[1]):
+                out[:, k] = np.bincount(owner, weights=scores[at, k], minlength=len(texts))
+        return out
 
 
 _scorers: dict[bytes, Scorer] = {}
@@ -274,7 +309,7 @@ def identify(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model)
         for batch in slices(batches, "text"):
-            sums = scorer.sums([t or "" for t in batch.column("text").to_pylist()])
+            sums = scorer.sums(batch.column("text"))
             words, logs = sums[:, -1], sums[:, :-1]
             known = (words > 0) & bool(model.languages)
             best = np.full(len(sums), len(model.languages))

@@ -9,6 +9,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clientlens.llm import langid, licenses, packing, pii, queries, sharding
+from clientlens.llm.common import drawn, hash_bound
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -138,7 +140,8 @@ def test_plain_text_has_no_spans(docs_of):
 
 
 def test_forward_sums_all_segmentations():
-    pieces = {"▁": 1, "a": 2, "b": 3, "ab": 4, "▁a": 5, "▁ab": 6, "bab": 7}
+    numbers = ["▁", "a", "b", "ab", "▁a", "▁ab", "bab"]
+    pieces = dict(zip(numbers, range(1, 8)))
     weights = np.random.default_rng(1).random(len(pieces) + 1)
 
     def brute(word):
@@ -148,11 +151,11 @@ def test_forward_sums_all_segmentations():
         return sum(weights[p] * brute(word[len(w) :]) for w, p in ways if p is not None)
 
     words = ["▁abab", "▁bab", "▁c", "▁"]
-    lattice = langid.Lattice.of(words, pieces, 3)
-    alpha = lattice.forward(weights[lattice.piece])
-    beta = lattice.backward(weights[lattice.piece])
+    lattice = langid.Lattice.of(words, langid.Pieces(numbers))
+    scaled = lattice.scaled(weights[lattice.piece])
+    alpha, beta = lattice.forward(scaled), lattice.backward(scaled)
     whole = alpha[np.arange(len(words)), lattice.length]
-    assert np.allclose(whole, [brute(w) for w in words]) and np.allclose(beta[:, 0], whole)
+    assert np.allclose(whole / langid.SCALE**lattice.length, [brute(w) for w in words]) and np.allclose(beta[:, 0], whole)
 
 
 def test_language_of_held_out_documents(spark, small):
@@ -177,8 +180,28 @@ def test_language_odd_cases(docs_of, odd, none):
 
 def test_language_scorer_forgets_and_keeps_results(docs_of):
     model = langid.fit(docs_of([(1, "ab cd", "x"), (2, "ef gh", "y")]), vocabulary_path=PIECES)
-    texts = [" ".join(random.Random(n).choices("ab cd ef gh abc, def-gh 12".split(), k=50)) for n in range(20)]
-    assert np.allclose(langid.Scorer(model, most=3, part=2).sums(texts), langid.Scorer(model).sums(texts), atol=1e-4)
+    scorer = langid.Scorer(model, most=3, letters=9, long=4)
+    for n in range(20):
+        draw = random.Random(n)
+        texts = pa.array([" ".join(draw.choices("ab cd ef gh abc, def-gh abcdefgh 12".split(), k=draw.randrange(9))) for _ in range(5)])
+        assert np.allclose(scorer.sums(texts), langid.Scorer(model).sums(texts), atol=1e-4)
+        assert len(scorer.younger) <= 3 and len(scorer.older) <= 3
+
+
+def test_language_of_long_runs_of_rare_letters(docs_of):
+    lines = [(i, "the cat and the dog " * 3, "en") for i in range(9)] + [(i, "der hund und die katze ѫѫ " * 3, "zz") for i in range(9)]
+    model = langid.fit(docs_of(lines), vocabulary_path=PIECES)
+    long = langid.identify(docs_of([(1, "ѫ" * 40), (2, "ѫ" * 400), (3, "ж" * 39 + " cat")]), model).collect()
+    sums = langid.Scorer(model).sums(pa.array(["ѫ" * 40, "q" * 41]))
+    assert {r.lang_pred for r in long if r.doc_id < 3} == {"zz"} and np.isfinite(sums).all() and (sums[:, 0] != sums[:, 1]).all()
+
+
+def test_samples_do_not_run_empty(spark):
+    assert hash_bound(3000, 10**10) > 2**40 and hash_bound(200, 10**15) > 0 and hash_bound(5, 5) == hash_bound(9, 2) == 2**63 - 1
+    rows = spark.range(20_000).selectExpr("case when id % 3 = 0 then 'hot' else cast(id as string) end as text")
+    found = [r.text for r in drawn(rows, "text", 500).collect()]
+    assert 300 < len(found) == len(set(found)) < 700
+    assert drawn(rows.where("false"), "text", 5).count() == 0 and drawn(rows, "text", 10**6).count() == 13_334
 
 
 def test_shards_are_even_and_slots_gapless(spark, small):
