@@ -22,7 +22,7 @@ from pyspark.ml.feature import CountVectorizer, NGram, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clientlens.llm.common import staged
+from clientlens.llm.common import drawn, staged
 
 # A paragraph without any of these is ordinary text (fixed values; every template has one).
 CUES = "licen[cs]|copyright|copyleft|warrant|redistribut|public domain|rights reserved|creative commons|cc0|spdx|permission"
@@ -116,9 +116,7 @@ def train(docs: DataFrame, *, text_col: str = "text", ordinary_rows: int = 200)
     runs = runs.select("family", F.slice("words", F.col("start"), F.least("long", F.size("words"))).alias("words"))
     runs = runs.where(F.array_join("words", " ").rlike(CUES) | (F.size("words") > 5)).distinct()
 
-    have = docs.count()
-    chance = F.pmod(F.xxhash64(text_col, F.lit("ordinary")), F.lit(1_000_000))
-    few = docs.where(chance < F.lit(int(1_000_000 * min(1.0, ordinary_rows / max(have, 1)))))
+    few = drawn(docs.select(text_col).dropna(), text_col, ordinary_rows)
     few = few.select(F.explode(F.split(text_col, "\n")).alias("line")).where(~F.col("line").rlike(f"(?i){CUES}"))
     ordinary = few.select(F.lit(NONE).alias("family"), F.slice(words(F.col("line")), 1, 60).alias("words")).where(F.size("words") > 3)
 
