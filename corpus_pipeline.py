@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the
 next one's docs. All but the last return the columns of documents; the last returns packed pieces.
+
+Cases: null and empty texts, and texts without a letter, go in the first stage; of equal rows one stays; null ids
+and ids that several rows have are ids like any other; an empty table passes as one; columns that documents does
+not have are dropped.
 """
 
 from __future__ import annotations
@@ -17,24 +21,31 @@ LEAST_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is recognised: not `und`, and with a score of at least LEAST_SCORE."""
+    """Keeps rows whose language is recognised: not `und`, and with a score of at least LEAST_SCORE."""
     model = langid.fit(docs, vocabulary_path=public_tokenizers.path("piece_bpe_32k.model"))
     found = langid.identify(docs, model, keep=("lang", "source", "n_chars", "text"))
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: that with the group's smallest id (one of its rows, if it is repeated)."""
-    classes = ngrams.similar_documents(docs)
-    keep = classes.where("doc_id is null or doc_id = class_id").select("doc_id").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    return docs.join(keep.withColumnRenamed("doc_id", "kept_id"), same, "left_semi").select(*COLUMNS)
+    """Keeps one row of each group: that with the smallest id, a null id being the largest.
+
+    Rows are numbered first, so one of several equal rows stays, and rows that share an id are told apart.
+    """
+    rows = staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "rows")
+    classes = ngrams.similar_documents(rows.select("row", "text"), id_col="row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = classes.join(rows.select("row", "doc_id"), "row").groupBy("class_id").agg(first).select("first.row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaked_id")), "left_anti").select(*COLUMNS)
+    """Drops rows whose text holds a benchmark item. They are found by their text, so neither a null id nor one
+    that another row has as well takes a clean row along."""
+    mark = F.sha2(F.col("text"), 256)
+    found = decontaminate.find_leaks(docs.select(mark.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("mark")).distinct()
+    return docs.join(found, mark == F.col("mark"), "left_anti").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
