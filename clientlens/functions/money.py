@@ -11,14 +11,20 @@ def fits(c: Column) -> Column:
     return c.isNull() | c.try_cast(AMOUNT).isNotNull()
 
 
-def decimal_total(c: Column) -> Column:
-    """Exact sum, the same whatever the row order. NULL when all are NULL.
+def exact(c: Column) -> Column:
+    """The value at the scale of AMOUNT.
 
-    A value that does not fit is an error here; the quality contracts set such rows aside before.
+    One that does not fit is an error here; the quality contracts set such rows aside before.
     """
     unfit = F.raise_error(F.lit(f"amount does not fit {AMOUNT}"))
-    value = F.coalesce(c.try_cast(AMOUNT), F.when(c.isNotNull(), unfit).cast(AMOUNT))
-    return F.sum(value)
+    return F.coalesce(c.try_cast(AMOUNT), F.when(c.isNotNull(), unfit).cast(AMOUNT))
+
+
+def decimal_total(c: Column) -> Column:
+    """Exact sum, the same whatever the row order. NULL when all are NULL; one of over 38 digits is an error."""
+    added = F.sum(exact(c))
+    too_large = F.raise_error(F.lit(f"total does not fit {AMOUNT}"))
+    return F.coalesce(added, F.when(F.count(c) > 0, too_large).cast(AMOUNT))
 
 
 def total(c: Column) -> Column:

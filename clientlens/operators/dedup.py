@@ -2,11 +2,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..schemas import Entity
 
 
+def newest_first(newest_by: str, tie_break: Sequence[str]) -> list[Column]:
+    """Order of the versions of a record: the newest first, NULL as oldest, then by the tie-break columns."""
+    return [F.col(newest_by).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
+
+
+def version_order(entity: Entity) -> list[Column]:
+    """The order in which `dedup_entity` prefers versions; a total order of different rows."""
+    rest = [c for c in entity.columns if c not in (entity.key, entity.newest_by, *entity.tie_break)]
+    return newest_first(entity.newest_by, [*entity.tie_break, *rest])
+
+
 def newest_per_key(
     df: DataFrame, keys: Sequence[str], newest_by: str, tie_break: Sequence[str] | None = None
 ) -> DataFrame:
@@ -24,7 +35,7 @@ def newest_per_key(
     """
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in keys and c != newest_by]
-    order = [F.col(newest_by).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
+    order = newest_first(newest_by, tie_break)
     rank = F.row_number().over(Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order))
     return df.withColumn("rank_in_key", rank).where("rank_in_key = 1").drop("rank_in_key")
 

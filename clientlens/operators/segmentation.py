@@ -21,17 +21,21 @@ def segment_clients(
     as_of: date | str | None = None,
     created_at: datetime | str | None = None,
     thresholds: rules.SegmentThresholds = rules.SegmentThresholds(),
+    aggregated: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One row per client with its measures and computed segment.
 
+    `aggregated` has the per-client aggregates of facts where they are at hand; the others are made of `entities`.
+
     Facts are aggregated before they are joined. The aggregates come out hash-partitioned
     by client, so the five left joins add one exchange only, that of the clients.
     """
     joined = entities["clients"].select(
         "client_id", "client_name", "city", "status", F.col("segment").alias("original_segment")
     )
+    made = aggregated or {}
     for name, aggregate in BY_ENTITY.items():
-        joined = joined.join(aggregate(entities[name]), "client_id", "left")
+        joined = joined.join(made[name] if name in made else aggregate(entities[name]), "client_id", "left")
     measured = joined.withColumns(
         {f.name: F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)) for f in MEASURES}
     )

@@ -10,6 +10,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators import deltas
 from ..operators.cleaning import to_cleaned
 from ..operators.dedup import dedup_entity
 from ..operators.maintenance import merged
@@ -17,7 +18,7 @@ from ..operators.offers import expand_offers, offers_with_ids
 from ..operators.quality import broken_rows, flag_broken, valid_rows
 from ..operators.segmentation import combine_segments, latest_snapshot, segment_clients
 from ..schemas import DEDUPLICATED, ENTITIES, MARTS, Entity, Mart
-from ..sources import layers as io
+from ..sources import buckets, layers as io, swap
 from ..sources.envelope import is_unreadable, parse_messages, with_lineage
 from ..sources.files import BROKEN, input_path, read_file
 from ..streaming.ingest import start_ingest
@@ -188,6 +189,41 @@ def dedup_layer(
     return _each("dedup", entities, lambda e: e.structured_table, load)
 
 
+def merge_layer(
+    spark: SparkSession, layers: io.Layers, as_of: str, entities: Iterable[Entity] = tuple(DEDUPLICATED)
+) -> list[Loaded]:
+    """Newest version of every record, by merging what was cleaned since the last merge into the structured table.
+
+    The newest date merged before is taken again, as more can have arrived on it; so is `as_of`. Only buckets
+    with arrivals are read and rewritten.
+    """
+
+    def load(entity: Entity) -> tuple[int, int]:
+        path = layers.structured(entity)
+        if io.newest_date(spark, layers.cleaned(entity), as_of) is None:
+            raise LookupError(f"{entity.structured_table} has no cleaned date up to {as_of}")
+        state = buckets.state_of(spark, path)
+        if state is None and io.folders(spark, path):
+            raise ValueError(f"{path} was loaded by a full refresh; increments need a folder of their own")
+        cleaned, day = io.read_cleaned(spark, layers.cleaned(entity), entity), F.col("processing_date")
+        since = as_of if state is None else min(state.through, as_of)
+        pending = cleaned if state is None else cleaned.where((day >= F.lit(since).cast("date")))
+        buckets.merge_newest(spark, path, pending, entity, as_of)
+        return io.read_structured(spark, path, entity).count(), 0
+
+    return _each("merge", entities, lambda e: e.structured_table, load)
+
+
+def partials_layer(spark: SparkSession, layers: io.Layers) -> list[Loaded]:
+    """Per-client aggregates brought up to the last merge by its changes."""
+
+    def load(entity: Entity) -> tuple[int, int]:
+        buckets.update_partials(spark, layers.structured(entity), layers.partials(entity), entity)
+        return buckets.read_partials(spark, layers.partials(entity), entity).count(), 0
+
+    return _each("partials", deltas.FACTS, lambda e: e.structured_table, load)
+
+
 def run_stamp(as_of: str, at: str | None = None) -> str:
     """Timestamp of the rows of a run: on its date, at the present time of day.
 
@@ -198,13 +234,18 @@ def run_stamp(as_of: str, at: str | None = None) -> str:
 
 
 def segmentation_layer(
-    spark: SparkSession, layers: io.Layers, as_of: str, at: str | None = None
+    spark: SparkSession, layers: io.Layers, as_of: str, at: str | None = None, from_partials: bool = False
 ) -> list[Loaded]:
+    """Segments of all clients; `from_partials` takes the kept aggregates instead of reading all facts."""
     stamp = run_stamp(as_of, at)
 
     def load(_) -> tuple[int, int]:
         tables = {e.name: io.read_structured(spark, layers.structured(e), e) for e in DEDUPLICATED}
-        return io.write_segmentation(segment_clients(tables, as_of, stamp), layers.segmentation, as_of), 0
+        made = {}
+        if from_partials:
+            made = {e.name: deltas.by_client(buckets.read_partials(spark, layers.partials(e), e), e) for e in deltas.FACTS}
+        rows = segment_clients(tables, as_of, stamp, aggregated=made)
+        return io.write_segmentation(rows, layers.segmentation, as_of), 0
 
     return _each("segment", ["client_segmentation"], str, load)
 
@@ -279,22 +320,26 @@ def report_layer(
     return _each("report", names, str, load)
 
 
-def compact(spark: SparkSession, layers: io.Layers, mart: Mart, month: int) -> int:
-    """Merge one month of a mart by its own rule and rewrite it clustered by its sort key.
+def compacted_month(spark: SparkSession, layers: io.Layers, mart: Mart, month: int) -> DataFrame:
+    """One month of a mart merged by its own rule and clustered by its sort key.
 
-    The merged month is written beside the old one and takes its place when it is complete.
     Rows keep the run date they came with, or the newest one of their key where rows were
     added up.
 
     Rows are placed by ranges of the sort key and then of all other columns, so a client
     with very many rows is split over several tasks.
     """
-    path = layers.mart(mart)
-    io.restore_month(spark, path, month)
-    rows = io.read_mart(spark, path, mart).where(F.col("yyyymm") == month).drop("yyyymm")
+    rows = io.read_mart(spark, layers.mart(mart), mart).where(F.col("yyyymm") == month).drop("yyyymm")
     order = ["run_date", *mart.sort_by]
     placed = merged(rows, mart).repartitionByRange(*order, *[c for c in mart.columns if c not in order])
-    return io.replace_month(placed.sortWithinPartitions(*order), path, month)
+    return placed.sortWithinPartitions(*order)
+
+
+def compact(spark: SparkSession, layers: io.Layers, mart: Mart, month: int) -> int:
+    """Merge one month of a mart and rewrite it in place; gives the rows left."""
+    path = layers.mart(mart)
+    swap.settle(spark, path)
+    return io.replace_month(compacted_month(spark, layers, mart, month), path, month)
 
 
 # The marts that a run loads, and that are compacted after it.
@@ -345,23 +390,26 @@ def run_incremental(
 ) -> list[Loaded]:
     """As `run_pipeline`, but reads only messages that came since the last incremental run.
 
-    `stream_of` gives the stream of an entity's messages. Dedup takes all dates, as each holds
-    what arrived on it; an entity without new messages is reported as not ok, and keeps its rows.
+    `stream_of` gives the stream of an entity's messages. What arrived is merged into the structured tables, and
+    the per-client aggregates are kept up by the rows that came and went, so a run costs its increment and
+    the buckets it touches. An entity without new messages is reported as not ok, and keeps its rows.
     """
     layers, at = io.Layers(root), run_stamp(as_of, at)
     stages = [
         lambda: arrive(stream_of, layers, as_of, entities),
         lambda: clean_layer(spark, layers, as_of, entities, arrived=True),
-        lambda: dedup_layer(spark, layers),
+        lambda: merge_layer(spark, layers, as_of),
+        lambda: partials_layer(spark, layers),
     ]
-    return _in_order(stages + _after_dedup(spark, layers, as_of, at, compact_month, with_reports))
+    return _in_order(stages + _after_dedup(spark, layers, as_of, at, compact_month, with_reports, from_partials=True))
 
 
 def _after_dedup(
-    spark: SparkSession, layers: io.Layers, as_of: str, at: str, compact_month: int | None, with_reports: bool
-) -> list[Callable[[], list[Loaded]]]:
+    spark: SparkSession, layers: io.Layers, as_of: str, at: str, compact_month: int | None, with_reports: bool,
+    from_partials: bool = False,
+) -> list[Callable[[], list[Loaded]]]:
     stages = [
-        lambda: segmentation_layer(spark, layers, as_of, at),
+        lambda: segmentation_layer(spark, layers, as_of, at, from_partials),
         lambda: mart_layer(spark, layers, as_of, at),
         lambda: analytics_layer(spark, layers, as_of, at),
     ]

@@ -24,6 +24,7 @@ _TYPES = {
     "decimal(15,2)": T.DecimalType(15, 2),
     "decimal(18,2)": T.DecimalType(18, 2),
     "decimal(28,2)": T.DecimalType(28, 2),
+    "decimal(38,12)": T.DecimalType(38, 12),
 }
 
 
@@ -231,6 +232,8 @@ class Mart:
     version: str | None = None
     # Columns added up per sort_by on maintenance.
     summed: tuple[str, ...] = ()
+    # Averages taken again from two of them: column -> (total, count).
+    averages: dict[str, tuple[str, str]] = field(default_factory=dict)
 
     @property
     def schema(self) -> T.StructType:
@@ -280,6 +283,7 @@ MARTS: dict[str, Mart] = {
             sort_by=("analysis_date", "segment"),
             month_of="analysis_date",
             summed=("clients_count", "total_revenue", "active_clients", "new_clients"),
+            averages={"avg_revenue": ("total_revenue", "clients_count")},
         ),
         Mart(
             name="campaign_performance",

@@ -2,7 +2,8 @@
 
 raw/<date>/<table>                         one overwrite per date
 cleaned/<table>/processing_date=<date>     a run replaces its own date only
-structured/<table>                         replaced as a whole
+structured/<table>                         replaced as a whole; in buckets after incremental runs
+partials/<table>                           aggregates per client and day, in buckets
 segmentation/processing_date=<date>        history kept
 marts/<table>/yyyymm=<month>/run_date=<d>  a run replaces its own date only
 reports/<report>/run_date=<date>           a run replaces its own date only
@@ -11,7 +12,6 @@ arrived/<table>/processing_date=<date>     appended by the incremental ingest
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from ..functions.dates import yyyymm
 from ..operators.segmentation import SEGMENTATION
 from ..schemas import Entity, Mart
+from . import swap
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,9 @@ class Layers:
     def structured(self, entity: Entity) -> str:
         return f"{self.root}/structured/{entity.structured_table}"
 
+    def partials(self, entity: Entity) -> str:
+        return f"{self.root}/partials/{entity.structured_table}"
+
     @property
     def segmentation(self) -> str:
         return f"{self.root}/segmentation/client_segmentation"
@@ -142,7 +146,7 @@ def read_arrived(spark: SparkSession, layers: Layers, entity: Entity, processing
 
 
 def read_structured(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
-    return spark.read.schema(entity.schema).parquet(path)
+    return swap.read(spark, path, entity.schema).select(*entity.columns)
 
 
 def write_segmentation(df: DataFrame, path: str, processing_date: str | None = None) -> int:
@@ -172,6 +176,7 @@ def write_mart(df: DataFrame, path: str, mart: Mart, run_date: str) -> int:
     Sorted inside each file by the mart's sort key; no shuffle is added. Months the earlier
     run wrote and this one has no rows for are emptied.
     """
+    swap.settle(df.sparkSession, path)
     earlier = folders(df.sparkSession, f"{path}/yyyymm=*/run_date={run_date}")
     month = {f: int(f.rsplit("/", 2)[1].removeprefix("yyyymm=")) for f in earlier}
     rows = to_mart(df, mart).withColumns(
@@ -187,47 +192,28 @@ def write_mart(df: DataFrame, path: str, mart: Mart, run_date: str) -> int:
     return seen.get["rows"]
 
 
-def replace_month(df: DataFrame, path: str, month: int) -> int:
-    """Replace one month of a mart, with the run dates that have no rows any more; gives the number of rows.
-
-    The new month is complete beside the old one, in a folder that readers skip, before they
-    change places; `df` may read the month itself. A failed write leaves the old month as it
-    was, and a change of places that broke off halfway is undone by the next call.
-    """
-    spark = df.sparkSession
-    place, mark = f"{path}/yyyymm={month}", uuid.uuid4().hex
-    new, old = f"{path}/_new-{month}-{mark}", f"{path}/_old-{month}-{mark}"
+def prepare_month(df: DataFrame, path: str, month: int) -> tuple[str, int]:
+    """Write the new rows of a month beside the old ones, which `df` may read; gives the change and its rows."""
+    change = swap.begin(df.sparkSession, path)
     watched, seen = counted(df)
-    watched.write.partitionBy("run_date").parquet(new)
-    if folders(spark, place):
-        move(spark, place, old)
-    move(spark, new, place)
-    remove(spark, old)
-    return seen.get["rows"]
+    watched.write.partitionBy("run_date").parquet(f"{change}/new/yyyymm={month}")
+    return change, seen.get["rows"]
 
 
-def restore_month(spark: SparkSession, path: str, month: int) -> None:
-    """Put the old month back where `replace_month` was stopped between its two moves."""
-    kept = folders(spark, f"{path}/_old-{month}-*")
-    if kept and not folders(spark, f"{path}/yyyymm={month}"):
-        move(spark, kept[0], f"{path}/yyyymm={month}")
-
-
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a folder; a step of the file system's directory, no data is copied on HDFS."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    system = path(source).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not system.rename(path(source), path(target)):
-        raise OSError(f"{source} could not be moved to {target}")
-
+def replace_month(df: DataFrame, path: str, month: int) -> int:
+    """Replace one month of a mart, with the run dates that have no rows any more; gives the number of rows.
 
-def remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    A failed write leaves the old month as it was; once the new one is complete, a stop at any step is made
+    good by the next load, and readers see the whole month meanwhile.
+    """
+    change, rows = prepare_month(df, path, month)
+    swap.commit(df.sparkSession, change, [f"yyyymm={month}"])
+    swap.settle(df.sparkSession, path)
+    return rows
 
 
 def read_mart(spark: SparkSession, path: str, mart: Mart) -> DataFrame:
-    return spark.read.schema(f"{mart.ddl}, yyyymm int, run_date date").parquet(path)
+    return swap.read(spark, path, f"{mart.ddl}, yyyymm int, run_date date")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 10_000, **properties: str) -> None:

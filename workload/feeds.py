@@ -75,3 +75,38 @@ def finer_and_larger(df: DataFrame, entity: Entity) -> DataFrame:
     column = AMOUNT_COLUMN[entity.name]
     c = F.col(column)
     return df.unionByName(df.withColumn(column, c / F.lit(1000.0))).unionByName(df.withColumn(column, c + F.lit(9e11)))
+
+
+# Column that a corrected version changes, and its new value.
+CORRECTED = {
+    "clients": ("client_name", "client_name || ' II'"),
+    "bank_transactions": ("amount", "amount / 2"),
+    "client_logins": ("success", "NOT success"),
+    "client_activities": ("duration_minutes", "duration_minutes + 1"),
+    "payments": ("amount", "amount / 2"),
+    "portfolios": ("current_price", "current_price / 2"),
+}
+# Client that takes over the facts whose key ends with 5.
+TAKES_OVER = "CLIENT_000001"
+
+
+def corrected(df: DataFrame, entity: Entity, last: str, day: str) -> DataFrame:
+    """A version of the rows whose key ends with one of `last`, dated `day`, with another value or client."""
+    column, value = CORRECTED[entity.name]
+    end = F.substring(F.col(entity.key), -1, 1)
+    rows = df.where(end.isin(*last)).withColumns(
+        {column: F.expr(value).cast(df.schema[column].dataType), entity.newest_by: F.lit(day).cast(df.schema[entity.newest_by].dataType)}
+    )
+    if entity.name == "clients":
+        return rows
+    return rows.withColumn("client_id", F.when(end == "5", TAKES_OVER).otherwise(F.col("client_id")))
+
+
+def arrivals(df: DataFrame, entity: Entity) -> list[DataFrame]:
+    """Three arrivals: the base rows; corrections of some; all of them again in older versions, and corrections
+    of some others and of some once more."""
+    return [
+        df,
+        corrected(df, entity, "35", "2030-01-01"),
+        replayed(df, entity).unionByName(corrected(df, entity, "57", "2031-01-01")),
+    ]

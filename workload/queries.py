@@ -6,9 +6,11 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce, wraps
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clientlens.operators import deltas
 from clientlens.operators.aggregates import BY_ENTITY
 from clientlens.operators.cleaning import clean, to_cleaned
 from clientlens.operators.dedup import dedup_entity
@@ -18,7 +20,7 @@ from clientlens.operators.quality import split_quality
 from clientlens.operators.segmentation import combine_segments, latest_snapshot, segment_clients
 from clientlens.plans import pipeline, reports
 from clientlens.schemas import DEDUPLICATED, ENTITIES, MARTS, Entity
-from clientlens.sources import catalog, envelope, files, layers as io
+from clientlens.sources import buckets, catalog, envelope, files, layers as io, swap
 from clientlens.streaming.ingest import start_ingest, stream_files
 from clientlens.workspace import scratch_path
 
@@ -63,6 +65,12 @@ def combined(spark: SparkSession, sf: str) -> DataFrame:
     return combine_segments(segmented(spark, sf))
 
 
+def staged_rows(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def client_mart(spark: SparkSession, sf: str, at: str = AT) -> DataFrame:
     rows = combined(spark, sf).withColumn("last_updated", F.lit(at).cast("timestamp"))
     return io.to_mart(rows, MARTS["marketing_clients"])
@@ -285,6 +293,42 @@ def summed(spark: SparkSession, sf: str) -> DataFrame:
     return plain(sum_merge(daily_runs(spark, sf), MARTS["marketing_analytics_daily"]))
 
 
+def compact_interrupted(spark: SparkSession, sf: str) -> DataFrame:
+    """Compaction of a month stopped before its journal and after each step of the change; then another date of the
+    month is loaded, then the month is compacted. Rows and scores that a reader finds at each point."""
+    mart, runs = MARTS["marketing_clients"], client_mart(spark, sf)
+    runs = staged_rows(runs, "client-run")
+
+    def run(day: str, more: int) -> DataFrame:
+        at = F.lit(f"{day} 12:00:00").cast("timestamp")
+        return runs.withColumns({"last_updated": at, "activity_score": F.col("activity_score") + more})
+
+    def stopped(stop: int) -> list[DataFrame]:
+        layers = io.Layers(scratch_path(spark, f"stop{stop}"))
+        path = layers.mart(mart)
+
+        def seen(point: str) -> DataFrame:
+            rows = io.read_mart(spark, path, mart).groupBy("run_date")
+            found = rows.agg(F.count("*").alias("row_count"), F.sum("activity_score").alias("score"))
+            # Kept as it is now: the folders change afterwards.
+            return staged_rows(found.select(F.lit(stop).alias("stop"), F.lit(point).alias("point"), "*"), "seen")
+
+        for day, more in ((EARLIER, 0), (AS_OF, 1)):
+            io.write_mart(run(day, more), path, mart, day)
+        change, _ = io.prepare_month(pipeline.compacted_month(spark, layers, mart, 202406), path, 202406)
+        if stop >= 0:
+            swap.commit(spark, change, ["yyyymm=202406"])
+        for _ in islice(swap.steps(spark, path), max(stop, 0)):
+            pass
+        found = [seen("stopped")]
+        io.write_mart(run("2024-06-28", 2), path, mart, "2024-06-28")
+        found.append(seen("loaded"))
+        pipeline.compact(spark, layers, mart, 202406)
+        return [*found, seen("compacted")]
+
+    return reduce(DataFrame.unionByName, [df for parts in side_by_side(stopped, range(-1, 4)) for df in parts])
+
+
 def compacted(spark: SparkSession, sf: str) -> DataFrame:
     """Client mart with two runs in June and one in July, June compacted in place."""
     mart = MARTS["marketing_clients"]
@@ -392,6 +436,35 @@ def incremental_run(spark: SparkSession, sf: str) -> DataFrame:
     return plain(io.read_mart(spark, io.Layers(root).mart(mart), mart).where(F.col("run_date") == F.lit(AS_OF).cast("date")))
 
 
+def merged(entity: Entity, spark: SparkSession, sf: str) -> str:
+    """Folder of a structured table after three arrivals, the second of them merged twice."""
+    path = io.Layers(scratch_path(spark, f"merge-{entity.name}")).structured(entity)
+    first, second, third = feeds.arrivals(spark_entity(spark, sf, entity.name), entity)
+    for day, rows in (("2024-06-28", first), (EARLIER, second), (EARLIER, second), (AS_OF, third)):
+        buckets.merge_newest(spark, path, rows, entity, day, buckets=4)
+    return path
+
+
+def merge_one(entity: Entity, spark: SparkSession, sf: str) -> DataFrame:
+    return io.read_structured(spark, merged(entity, spark, sf), entity)
+
+
+def aggregate_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    """Aggregates of all facts, kept up over three arrivals by what came and went; one row per client and measure."""
+
+    def kept_up(entity: Entity) -> DataFrame:
+        layers = io.Layers(scratch_path(spark, f"deltas-{entity.name}"))
+        table, partials = layers.structured(entity), layers.partials(entity)
+        for day, rows in zip(("2024-06-28", EARLIER, AS_OF), feeds.arrivals(spark_entity(spark, sf, entity.name), entity)):
+            buckets.merge_newest(spark, table, rows, entity, day, buckets=4)
+            buckets.update_partials(spark, table, partials, entity, buckets=4)
+        found = deltas.by_client(buckets.read_partials(spark, partials, entity), entity)
+        named = [F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in found.columns[1:]]
+        return found.select("client_id", F.inline(F.array(*named)))
+
+    return reduce(DataFrame.unionByName, side_by_side(kept_up, deltas.FACTS))
+
+
 # Report -> its key columns, its count and its total.
 REPORT_COLUMNS = {
     "segmentation_report": (["metric"], "value", None),
@@ -514,6 +587,7 @@ def all_queries() -> dict[str, Query]:
         found[f"quality_split_{e.name}"] = partial(quality_one, e)
     for e in DEDUPLICATED:
         found[f"dedup_{e.name}"] = partial(dedup_one, e)
+        found[f"incremental_merge_{e.name}"] = partial(merge_one, e)
     for name in BY_ENTITY:
         found[f"agg_{name}"] = partial(aggregate_one, name)
     found |= {
@@ -558,6 +632,8 @@ def all_queries() -> dict[str, Query]:
         "replace_latest": replaced,
         "sum_merge": summed,
         "table_compact": compacted,
+        "compact_interrupted": compact_interrupted,
+        "aggregate_deltas": aggregate_deltas,
         "run_pipeline": run_offers,
         "load_report": run_report,
     }
