@@ -76,7 +76,10 @@ def templates_of(segment: Column, templates: Sequence[Template] = TEMPLATES) ->
 
     def constant(group: list[Template]) -> Column:
         fields = Template._fields[1:]
-        return F.array(*[F.struct(*[F.lit(getattr(t, f)).alias(f) for f in fields]) for t in group])
+        # `place` is the template's place among those of its segment, from 0.
+        return F.array(
+            *[F.struct(F.lit(n).alias("place"), *[F.lit(getattr(t, f)).alias(f) for f in fields]) for n, t in enumerate(group)]
+        )
 
     found = F.when(F.lit(False), constant(by_segment[DEFAULT_SEGMENT]))
     for name, group in by_segment.items():
@@ -114,24 +117,17 @@ def expand_offers(
 def offers_with_ids(clients: DataFrame, templates: Sequence[Template] = TEMPLATES, **options) -> DataFrame:
     """Offers with the id that depends on the offer's place in the whole run.
 
-    Clients are numbered, not offers: offer n of client c is number
-    `offers of the clients before c + n`, and every client gets equally many offers,
-    so the sort runs on a third of the rows. Where segments have unequal numbers of
-    templates, the offers themselves are sorted and numbered.
+    Clients are numbered, not offers: offer n of client c is number `offers of the clients before c + n`. The
+    numbers of offers are added up over the clients in their order, whether all have equally many or not,
+    so the sort and what it stages hold clients only.
 
     The sort runs, and its rows are staged, when this is called.
     """
     per_client = _offers_per_client(templates)
-    if per_client is None:
-        offers = expand_offers(clients, templates, keep=("total_value", "login_count", "position"), **options)
-        offers = with_global_ordinal(offers, [*client_order(), F.col("position")], "offer_ordinal")
-        return offers.select(
-            offer_id(F.col("client_id"), F.col("offer_type"), F.col("offer_ordinal")).alias("offer_id"),
-            *OFFER_COLUMNS,
-        )
-    numbered = with_global_ordinal(clients, client_order(), "client_ordinal")
-    offers = expand_offers(numbered, templates, keep=("client_ordinal", "position"), **options)
-    ordinal = (F.col("client_ordinal") - 1) * per_client + F.col("position")
+    weight = F.size(templates_of(F.col("combined_segment"), templates)) if per_client is None else None
+    numbered = with_global_ordinal(clients, client_order(), "client_ordinal", weight)
+    offers = expand_offers(numbered, templates, keep=("client_ordinal", "place"), **options)
+    ordinal = (F.col("client_ordinal") - 1) * (per_client or 1) + F.col("place") + 1
     return offers.select(
         offer_id(F.col("client_id"), F.col("offer_type"), ordinal).alias("offer_id"), *OFFER_COLUMNS
     )

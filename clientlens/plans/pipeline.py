@@ -15,11 +15,11 @@ from ..operators.cleaning import to_cleaned
 from ..operators.dedup import dedup_entity
 from ..operators.maintenance import merged
 from ..operators.offers import expand_offers, offers_with_ids
-from ..operators.quality import broken_rows, flag_broken, valid_rows
+from ..operators.quality import flag_broken, violations
 from ..operators.segmentation import combine_segments, latest_snapshot, segment_clients
 from ..schemas import DEDUPLICATED, ENTITIES, MARTS, Entity, Mart
-from ..sources import buckets, layers as io, swap
-from ..sources.envelope import is_unreadable, parse_messages, with_lineage
+from ..sources import buckets, layers as io, offsets, swap
+from ..sources.envelope import IS_REJECTED, parse_messages, with_lineage, with_violations
 from ..sources.files import BROKEN, input_path, read_file
 from ..streaming.ingest import start_ingest
 from . import reports
@@ -82,27 +82,45 @@ def ingest(
     entities: Iterable[Entity] = tuple(ENTITIES.values()),
     at: str | None = None,
 ) -> list[Loaded]:
-    """Messages -> typed raw rows. Messages that are not JSON are kept aside as text."""
+    """Messages -> typed raw rows, in one pass over the messages.
+
+    Messages that are not JSON, or have a field of the wrong type, are kept aside as text with what is wrong.
+    """
 
     def load(entity: Entity) -> tuple[int, int]:
-        parsed = parse_messages(messages_of(entity), entity)
-        bad = is_unreadable(entity)
-        watched, seen = io.counted(parsed, rejected=F.count_if(bad))
-        rows = with_lineage(watched.where(~bad).drop("raw_value"), processing_date, at)
-        rows.write.mode("overwrite").parquet(layers.raw(entity, processing_date))
-        metrics = seen.get
-        if metrics["rejected"]:
-            # Read the messages a second time only when there is something to set aside.
-            parsed.where(bad).select("raw_value").write.mode("overwrite").parquet(
-                layers.unreadable(entity, processing_date)
-            )
-        else:
-            io.clear(spark, layers.unreadable(entity, processing_date), "raw_value string")
-        return metrics["rows"] - metrics["rejected"], metrics["rejected"]
+        checked = with_violations(parse_messages(messages_of(entity), entity), entity)
+        rejected = F.expr(IS_REJECTED)
+        rows = with_lineage(checked, processing_date, at).withColumns(
+            {
+                "raw_value": F.when(rejected, F.col("raw_value")),
+                "violations": F.when(rejected, F.col("violations")),
+                "rejected": rejected,
+            }
+        )
+        kept = layers.raw(entity, processing_date), f"{entity.ddl}, ingestion_timestamp timestamp, processing_date string"
+        aside = layers.unreadable(entity, processing_date), "raw_value string, violations string"
+        return io.write_halves(rows, "rejected", layers.root, f"ingest-{entity.name}", kept, aside)
 
     return _each("ingest", entities, lambda e: e.raw_table, load)
 
 
+def fixed_messages(
+    spark: SparkSession,
+    layers: io.Layers,
+    messages_of: Callable[[Entity], DataFrame],
+    run: str,
+    go_on: bool = False,
+) -> Callable[[Entity], DataFrame]:
+    """`messages_of` within offsets that are resolved once for the run and kept with it."""
+
+    def bounded(entity: Entity) -> DataFrame:
+        messages = messages_of(entity)
+        bounds = offsets.fix(spark, layers.root, entity.topic, run, lambda: offsets.ends(messages), go_on)
+        return offsets.within(messages, bounds)
+
+    return bounded
+
+
 def arrive(
     stream_of: Callable[[Entity], DataFrame],
     layers: io.Layers,
@@ -112,7 +130,7 @@ def arrive(
     """Messages that came since the last call -> raw rows appended under the date.
 
     Every message is taken once, also when a call is repeated after a failure. Messages that
-    are not JSON are kept aside by a query of their own. No new message is not a failure.
+    cannot be read are kept aside by a query of their own. No new message is not a failure.
     """
 
     def take(entity: Entity, unreadable: bool) -> int:
@@ -137,7 +155,7 @@ def clean_layer(
     entities: Iterable[Entity] = tuple(ENTITIES.values()),
     arrived: bool = False,
 ) -> list[Loaded]:
-    """Raw rows of a date -> cleaned rows of that date; contract breakers go to quarantine.
+    """Raw rows of a date -> cleaned rows of that date; contract breakers go to quarantine, in the same pass.
 
     With `arrived` the rows are those that the incremental ingest appended on the date.
     """
@@ -147,17 +165,11 @@ def clean_layer(
             raw = io.read_arrived(spark, layers, entity, processing_date)
         else:
             raw = io.read_raw(spark, layers.raw(entity, processing_date), entity)
-        flagged = flag_broken(to_cleaned(raw, entity, processing_date), entity)
-        watched, seen = io.counted(flagged, rejected=F.count_if("broken"))
-        io.write_dated(valid_rows(watched), layers.cleaned(entity), processing_date)
-        metrics = seen.get
-        if metrics["rejected"]:
-            # A second pass over the raw rows only when there is something to set aside.
-            io.write_dated(broken_rows(flagged, entity), layers.quarantine(entity), processing_date)
-        else:
-            aside = io.dated(layers.quarantine(entity), processing_date)
-            io.clear(spark, aside, f"{entity.ddl}, violations string")
-        return metrics["rows"] - metrics["rejected"], metrics["rejected"]
+        flagged = flag_broken(to_cleaned(raw, entity, processing_date), entity).drop("processing_date")
+        rows = flagged.withColumn("violations", F.when(F.col("broken"), violations(entity)))
+        kept = io.dated(layers.cleaned(entity), processing_date), entity.ddl
+        aside = io.dated(layers.quarantine(entity), processing_date), f"{entity.ddl}, violations string"
+        return io.write_halves(rows, "broken", layers.root, f"clean-{entity.name}", kept, aside)
 
     return _each("clean", entities, lambda e: e.structured_table, load)
 
@@ -360,6 +372,7 @@ def run_pipeline(
     compact_month: int | None = None,
     entities: Iterable[Entity] = tuple(ENTITIES.values()),
     with_reports: bool = False,
+    fixed_offsets: bool = False,
 ) -> list[Loaded]:
     """All stages in dependency order for one date; running a date again replaces it.
 
@@ -367,9 +380,12 @@ def run_pipeline(
     `entities` limits what is ingested; the others keep what an earlier run cleaned.
     A failed table ends the run after its stage, as later stages need it. An empty one is
     reported as not ok, but the run goes on. With `compact_month` the marts of that month
-    are merged and rewritten at the end; `with_reports` stores the reports of the date.
+    are merged and rewritten at the end; `with_reports` stores the reports of the date. With `fixed_offsets` the
+    run reads up to the offsets that it found when it was first started, also when it is repeated.
     """
     layers, at = io.Layers(root), run_stamp(as_of, at)
+    if fixed_offsets:
+        messages_of = fixed_messages(spark, layers, messages_of, as_of)
     stages = [
         lambda: ingest(spark, messages_of, layers, as_of, entities, at),
         lambda: clean_layer(spark, layers, as_of, entities),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import ENTITIES, MARTS, Entity
 from .layers import Layers, folders, read_cleaned
@@ -76,6 +79,55 @@ def save_table(
     writer.saveAsTable(name)
 
 
-def analyze(spark: SparkSession, name: str) -> None:
-    """Statistics for the cost-based optimizer."""
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+def save_co_located(df: DataFrame, name: str, by: list[str], buckets: int) -> None:
+    """Managed table in buckets of some columns, one sorted file each.
+
+    Aggregates and joins by these columns run where the rows lie. The rows are dealt by the same hash that the
+    buckets have, so a task writes whole buckets.
+    """
+    placed = df.repartition(buckets, *by)
+    placed.write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by).saveAsTable(name)
+
+
+def salted(df: DataFrame, key: str, salts: int) -> DataFrame:
+    """The rows with a `salt` by their key, for bucketing by client and salt.
+
+    A client with a large share of the rows then lies in several buckets; aggregation by client exchanges one
+    partial row for each client and bucket.
+    """
+    return df.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+
+
+# Settings under which the optimizer uses the statistics of columns, for estimates and the order of joins.
+COST_BASED = {
+    "spark.sql.cbo.enabled": "true",
+    "spark.sql.cbo.joinReorder.enabled": "true",
+    "spark.sql.cbo.planStats.enabled": "true",
+    "spark.sql.statistics.histogram.enabled": "true",
+}
+
+
+@contextmanager
+def cost_based(spark: SparkSession) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in COST_BASED}
+    for k, v in COST_BASED.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def analyze(spark: SparkSession, name: str, histograms: bool = False) -> None:
+    """Statistics for the cost-based optimizer; `histograms` adds the distribution of each column's values."""
+    with cost_based(spark) if histograms else nullcontext():
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
+def expected_rows(df: DataFrame) -> int | None:
+    """Rows that the cost-based optimizer expects a query over analysed tables to give; None if it cannot tell."""
+    spark = df.sparkSession
+    with cost_based(spark):
+        rows = df.select("*")._jdf.queryExecution().optimizedPlan().stats().rowCount()
+        return int(str(rows.get())) if rows.isDefined() else None

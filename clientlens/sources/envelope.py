@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import ENTITIES, ENVELOPE_DDL, Entity
+from . import offsets, swap
 
 # Same text a JSON encoder that falls back to str() gives for dates and timestamps.
 JSON_FORMATS = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "dateFormat": "yyyy-MM-dd"}
@@ -103,7 +104,13 @@ def write_envelope(
     temporary files.
     """
     spread = df if partitions is None else df.repartition(partitions)
-    to_envelope(spread, topic, at).drop("topic").write.mode("append").parquet(topic_folder(path, topic))
+    sent, folder = to_envelope(spread, topic, at).drop("topic"), topic_folder(path, topic)
+    begun = offsets.ends(read_envelope(df.sparkSession, path, topic)) if swap.exists(df.sparkSession, folder) else {}
+    if begun:
+        # Offsets go on from those of the messages that are there.
+        after = F.create_map(*[F.lit(x) for pair in begun.items() for x in pair])
+        sent = sent.withColumn("offset", F.col("offset") + F.coalesce(after[F.col("partition")], F.lit(0)))
+    sent.write.mode("append").parquet(folder)
 
 
 def read_envelope(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
@@ -130,16 +137,51 @@ def is_unreadable(entity: Entity) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNull() for c in entity.columns])
 
 
+def type_violations(entity: Entity) -> Column:
+    """Fields that a message has a value for and whose type that value does not fit: array of (field, text).
+
+    Works on the columns of `parse_messages`. Only messages with an empty field are parsed again, as VARIANT. Text
+    that the reader of typed fields takes but VARIANT does not, as NaN, is searched for the field's name.
+    """
+    empty = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in entity.columns])
+    raw = F.col("raw_value")
+
+    def named(v: Column) -> Column:
+        found = []
+        for c in entity.columns:
+            plain = F.regexp_extract(raw, rf'"{c}"\s*:\s*([^,}}\s]+)', 1)
+            plain = F.when(v.isNull() & empty & ~plain.isin("", "null"), plain)
+            text = F.coalesce(F.try_variant_get(v, f"$.{c}", "string"), plain)
+            found.append(F.when(F.col(c).isNull() & text.isNotNull(), F.struct(F.lit(c).alias("field"), text.alias("text"))))
+        return F.filter(F.array(*found), lambda f: f.isNotNull())
+
+    # The variable of a lambda is a value, so a message is parsed once for all its fields.
+    return F.get(F.transform(F.array(F.when(empty, F.expr("try_parse_json(raw_value)"))), named), F.lit(0))
+
+
+def with_violations(parsed: DataFrame, entity: Entity) -> DataFrame:
+    """Parsed messages with `violations`: `unreadable`, or `type:<field>=<text>` of each field; empty if none."""
+    listed = F.transform(type_violations(entity), lambda f: F.concat(F.lit("type:"), f["field"], F.lit("="), f["text"]))
+    found = F.when(is_unreadable(entity), F.lit("unreadable")).otherwise(F.array_join(listed, ","))
+    # Out of an explode the text is a value, which later filters do not compute again.
+    return parsed.select("*", F.explode(F.array(found)).alias("violations"))
+
+
+IS_REJECTED = "violations <> ''"
+
+
 def read_messages(envelope: DataFrame, entity: Entity, strict: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """(typed rows, messages that could not be read).
+    """(typed rows, messages that could not be read with their violations).
 
-    `strict` keeps an unreadable message as a row of NULLs instead and returns no second part.
+    A message that is not JSON, or has a field of the wrong type, is in the second part. `strict` keeps such
+    a message as a row with NULLs instead and returns no second part.
     """
     parsed = parse_messages(envelope, entity)
     if strict:
         return parsed.drop("raw_value"), None
-    bad = is_unreadable(entity)
-    return parsed.where(~bad).drop("raw_value"), parsed.where(bad).select("raw_value")
+    checked = with_violations(parsed, entity)
+    kept = checked.where(f"not ({IS_REJECTED})").drop("raw_value", "violations")
+    return kept, checked.where(IS_REJECTED).select("raw_value", "violations")
 
 
 def with_lineage(df: DataFrame, processing_date: str, at: str | None = None) -> DataFrame:

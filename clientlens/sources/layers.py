@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.dates import yyyymm
+from ..functions.zorder import place
 from ..operators.segmentation import SEGMENTATION
 from ..schemas import Entity, Mart
 from . import swap
@@ -113,6 +114,33 @@ def clear(spark: SparkSession, folder: str, ddl: str) -> None:
         replace_folder(spark.createDataFrame([], ddl), folder)
 
 
+def write_halves(
+    df: DataFrame, flag: str, root: str, lane: str, kept: tuple[str, str], rejected: tuple[str, str]
+) -> tuple[int, int]:
+    """Write rows to one of two folders below `root` by a boolean column, in one pass; gives the rows of each.
+
+    `kept` and `rejected` are (folder, columns). Both folders are replaced as one change, by renaming what
+    a single job wrote, so they always come from the same reading of the input.
+    """
+    spark = df.sparkSession
+    change, parts = swap.begin(spark, root, lane), []
+    watched, seen = counted(df, flagged=F.count_if(flag))
+    watched.write.partitionBy(flag).parquet(f"{change}/raw")
+    for value, (folder, ddl) in (("false", kept), ("true", rejected)):
+        part = folder.removeprefix(f"{root}/")
+        if swap.exists(spark, f"{change}/raw/{flag}={value}"):
+            swap.move(spark, f"{change}/raw/{flag}={value}", f"{change}/new/{part}")
+        elif value == "false" or swap.exists(spark, folder):
+            spark.createDataFrame([], ddl).write.parquet(f"{change}/new/{part}")
+        else:
+            continue
+        parts.append(part)
+    swap.commit(spark, change, parts)
+    swap.settle(spark, root, lane)
+    metrics = seen.get
+    return metrics["rows"] - metrics["flagged"], metrics["flagged"]
+
+
 def newest_date(spark: SparkSession, path: str, upto: str) -> str | None:
     """Newest date of a dated table that is not after `upto`; a date loaded with no rows counts."""
     dates = [f.rsplit("=", 1)[1] for f in folders(spark, dated(path, "*"))]
@@ -161,6 +189,41 @@ def write_segmentation(df: DataFrame, path: str, processing_date: str | None = N
     return seen.get["rows"]
 
 
+# Columns that reads of the segmentation filter on.
+ACCESS_COLUMNS = ("segment", "city", "status")
+
+
+def write_clustered(
+    df: DataFrame, path: str, processing_date: str, by: Sequence[str] = ACCESS_COLUMNS, files: int | None = None
+) -> int:
+    """Replace a date of the segmentation, its files narrow in each of the columns `by`.
+
+    Rows are dealt to files by ranges of a common order of these columns, so a filter on any of them skips files
+    by their smallest and largest values, where an order by one after the other serves only the first.
+    """
+    watched, seen = counted(df)
+    order = [place(df, by), *[F.col(c) for c in by], F.col("client_id")]
+    placed = watched.repartitionByRange(*([files] if files else []), *order)
+    write_dated(placed.sortWithinPartitions(*order), path, processing_date)
+    return seen.get["rows"]
+
+
+def read_snapshot(spark: SparkSession, path: str, as_of: str | None = None) -> DataFrame:
+    """The segmentation of a date, or of the newest one that has a folder; other dates are not opened."""
+    newest = as_of or newest_date(spark, path, "9999-12-31")
+    if newest is None:
+        raise LookupError(f"{path} has no date")
+    return read_segmentation(spark, path).where(F.col("processing_date") == F.lit(newest).cast("date"))
+
+
+def of_runs(segmentation: DataFrame, runs: DataFrame) -> DataFrame:
+    """Segmentation rows of the dates that `runs` has in `processing_date`, with its other columns.
+
+    The dates are known only while the query runs; Spark then reads their folders and no others.
+    """
+    return segmentation.join(runs, "processing_date")
+
+
 def read_segmentation(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SEGMENTATION).parquet(path).select(*SEGMENTATION.names)
 

@@ -1,11 +1,12 @@
 """Replacing folders of a table so that the change can be stopped anywhere, resumed, and read meanwhile.
 
-New content is written beside the table, below <table>.swap/<mark>/new. Its journal, a file that lists the parts
-of the change, appears in one step and is the point from which the change holds: whoever loads the table next
-finishes it, and readers take a part that is between its two places from where it is. Without a journal the
-table is as it was. A part is a folder or file of the table's folder, by its path there.
+New content is written below <table>/_swap/<mark>/new, which Spark's readers skip. Its journal, a file that lists
+the parts of the change, appears in one step and is the point from which the change holds: whoever loads the
+table next finishes it, and readers take a part that is between its two places from where it is. Without a
+journal the table is as it was. A part is a folder or file of the table's folder, by its path there.
 
-One writer at a time works on a table; readers need not wait.
+One writer at a time works on a table, or on one lane of it: lanes are for parts that belong to different
+writers, as the tables below one root. Readers need not wait.
 """
 
 from __future__ import annotations
@@ -71,10 +72,14 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in system.globStatus(place) or [])
 
 
-def begin(spark: SparkSession, path: str) -> str:
+def home(path: str, lane: str = "") -> str:
+    return f"{path}/_swap/{lane}" if lane else f"{path}/_swap"
+
+
+def begin(spark: SparkSession, path: str, lane: str = "") -> str:
     """Folder of a new change of a table, after an earlier one has been finished."""
-    settle(spark, path)
-    return f"{path}.swap/{time.time_ns():020d}-{uuid.uuid4().hex}"
+    settle(spark, path, lane)
+    return f"{home(path, lane)}/{time.time_ns():020d}-{uuid.uuid4().hex}"
 
 
 def commit(spark: SparkSession, change: str, parts: list[str]) -> None:
@@ -82,9 +87,9 @@ def commit(spark: SparkSession, change: str, parts: list[str]) -> None:
     write_text(spark, f"{change}/{JOURNAL}", "".join(f"{p}\n" for p in parts))
 
 
-def steps(spark: SparkSession, path: str) -> Iterator[str]:
+def steps(spark: SparkSession, path: str, lane: str = "") -> Iterator[str]:
     """Carry out the changes that hold, one rename at a time; gives what has been done after each."""
-    for change in listed(spark, f"{path}.swap/*"):
+    for change in listed(spark, f"{home(path, lane)}/*"):
         for part in (read_text(spark, f"{change}/{JOURNAL}") or "").splitlines():
             new, old, place = f"{change}/new/{part}", f"{change}/old/{part}", f"{path}/{part}"
             if exists(spark, new):
@@ -98,9 +103,9 @@ def steps(spark: SparkSession, path: str) -> Iterator[str]:
         remove(spark, change)
 
 
-def settle(spark: SparkSession, path: str) -> None:
+def settle(spark: SparkSession, path: str, lane: str = "") -> None:
     """Finish the changes of a table that hold and drop what others have left."""
-    for _ in steps(spark, path):
+    for _ in steps(spark, path, lane):
         pass
 
 
@@ -111,7 +116,7 @@ def read(spark: SparkSession, path: str, schema, parts: list[str] | None = None)
     """
     reader = lambda base: spark.read.schema(schema).option("basePath", base)
     between = []
-    for change in listed(spark, f"{path}.swap/*"):
+    for change in listed(spark, f"{home(path)}/*"):
         for part in (read_text(spark, f"{change}/{JOURNAL}") or "").splitlines():
             wanted = "=" in part and not part.startswith("_") and (parts is None or part in parts)
             if wanted and not exists(spark, f"{path}/{part}"):

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import MESSAGE_FILE_DDL, Entity
-from ..sources.envelope import is_unreadable, parse_messages, topic_folder, with_lineage
+from ..sources.envelope import read_messages, topic_folder, with_lineage
 
 
 def stream_files(spark: SparkSession, path: str, topic: str, **options: str) -> DataFrame:
@@ -37,11 +37,10 @@ def start_ingest(
 
     The transform is the one of the batch ingest. The file sink's log makes every message
     appear exactly once, also after a failure. With `unreadable` the query writes the
-    messages that could not be parsed instead; it needs a checkpoint of its own.
+    messages that could not be read instead, with what is wrong; it needs a checkpoint of its own.
     """
-    parsed = parse_messages(messages, entity)
-    bad = is_unreadable(entity)
-    rows = parsed.where(bad).select("raw_value") if unreadable else parsed.where(~bad).drop("raw_value")
+    kept, aside = read_messages(messages, entity)
+    rows = aside if unreadable else kept
     return (
         with_lineage(rows, processing_date)
         .writeStream.format("parquet")

@@ -17,6 +17,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Writes of kept and rejected rows in one pass keep both files open instead of sorting.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
@@ -30,10 +32,16 @@ def session(app_name: str = "clientlens", **extra: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: spark.checkpoint.dir of the session.
 
-    Where that is unset, a folder below the warehouse of the session, which executors share as well.
+    Where that is unset, a folder below the warehouse of the session, which executors share as well. A
+    warehouse on the driver's own disk is an error unless all runs on one machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_staged"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -83,7 +83,7 @@ def test_merge_that_stops_anywhere_is_finished_by_the_next(spark, tmp_path, monk
     third = transactions(spark, [("T3", "C", 3, 4.0)])
     buckets.merge_newest(spark, path, third, TRANSACTIONS, "2024-06-03")
     assert rows_of(io.read_structured(spark, path, TRANSACTIONS)) == rows_of(dedup_entity(first.union(second).union(third), TRANSACTIONS))
-    assert buckets.state_of(spark, path) == (3, "2024-06-03", 1) and swap.listed(spark, f"{path}.swap/*") == []
+    assert buckets.state_of(spark, path) == (3, "2024-06-03", 1) and swap.listed(spark, f"{path}/_swap/*") == []
 
 
 def test_partials_follow_the_changes(spark, tmp_path):

@@ -216,7 +216,7 @@ def test_compaction_that_fails_leaves_the_month_whole(spark, tmp_path, monkeypat
     swap.settle(spark, path)
     assert read() == [2, 3]
     assert io.replace_month(spark.sql(f"SELECT 4 AS n, {day}"), path, month) == 1
-    assert read() == [4] and swap.listed(spark, f"{path}.swap/*") == []
+    assert read() == [4] and swap.listed(spark, f"{path}/_swap/*") == []
 
 
 def test_increment_without_new_messages_keeps_the_rows(spark, tiny, tmp_path):

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from clientlens.operators.cleaning import clean
 from clientlens.operators.dedup import dedup_entity
-from clientlens.operators.offers import expand_offers
+from clientlens.operators.offers import expand_offers, offers_with_ids
 from clientlens.operators.quality import split_quality
 from clientlens.operators.segmentation import combine_segments, latest_snapshot, segment_clients
 from clientlens.plans import reports
 from clientlens.schemas import ENTITIES
 from clientlens.sources import envelope, layers as io
 from workload.adapters import ADAPTERS, spark_entity
+from workload.queries import UNEVEN, co_located, combined, snapshot_by_run
 
 
 def physical(df) -> str:
@@ -138,3 +139,46 @@ def test_writing_one_date_needs_no_sort(spark, stored, tmp_path):
     plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
     last = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p][-1]
     assert "Sort" not in last.split("(1)")[0]
+
+
+def test_bucketed_tables_are_joined_where_they_lie(spark, tiny, shuffled):
+    plan = physical(segment_clients(co_located(spark, tiny), "2024-06-30", "2024-06-30 12:00:00"))
+    assert plan.count("Join") == 5 and "Exchange" not in plan
+    # Spread over several buckets, a client's facts are aggregated in each before they are exchanged.
+    plan = physical(segment_clients(co_located(spark, tiny, salts=4), "2024-06-30", "2024-06-30 12:00:00"))
+    after = [line for above, line in zip(plan.splitlines(), plan.splitlines()[1:]) if "Exchange hashpartitioning" in above]
+    assert len(after) == 5 and all("partial_" in line for line in after)
+
+
+def test_dates_of_runs_prune_folders_while_the_query_runs(spark, tiny):
+    assert "dynamicpruning" in physical(snapshot_by_run(spark, tiny))
+
+
+def test_clustered_files_are_skipped_by_each_filter(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    names = io.SEGMENTATION.names
+    rows = spark.range(4000).selectExpr(
+        "cast(id as string) AS client_id", "concat('S', id % 4) AS segment", "concat('C', id div 7 % 30) AS city",
+        "if(id % 3 = 0, 'Active', 'Inactive') AS status",
+    )
+    rows = rows.selectExpr(*[n if n in rows.columns else f"cast(NULL AS {io.SEGMENTATION[n].dataType.simpleString()}) AS {n}" for n in names])
+    io.write_clustered(rows, f"{tmp_path}/t", "2024-06-30", files=16)
+    found = list((tmp_path / "t").rglob("*.parquet"))
+
+    def kept(column, value):
+        index = pq.read_schema(found[0]).names.index(column)
+        stats = [pq.ParquetFile(f).metadata.row_group(0).column(index).statistics for f in found]
+        return sum(s.min <= value <= s.max for s in stats)
+
+    assert len(found) == 16
+    assert kept("segment", "S2") <= 8 and kept("city", "C17") <= 8 and kept("status", "Active") <= 10
+
+
+def test_uneven_offers_sort_and_stage_clients_only(spark, tiny):
+    df = offers_with_ids(combined(spark, tiny), UNEVEN)
+    plan = physical(df)
+    assert plan.index("Generate inline") < plan.index("Window")
+    staged = [line for line in plan.splitlines() if "FileScan" in line and "/ordinal-" in line and "offsets" not in line]
+    assert staged and all("offer_type" not in line for line in staged)
+    assert len(spark.read.parquet(df.inputFiles()[0].rsplit("/", 1)[0]).columns) <= 12

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clientlens.schemas import ENTITIES, ENVELOPE_DDL, MARTS
-from clientlens.sources import catalog, envelope, files, layers as io
+from clientlens.sources import catalog, envelope, files, layers as io, offsets
 from clientlens.streaming.ingest import start_ingest, stream_files
 
 ACT = ENTITIES["client_activities"]
@@ -51,6 +51,22 @@ def test_timestamps_keep_microseconds_and_text_keeps_its_alphabet(spark):
     assert tuple(envelope.parse_messages(sent, LOGIN).drop("raw_value").first()) == tuple(df.first())
 
 
+def test_fields_of_the_wrong_type_are_named(spark):
+    texts = {
+        '{"activity_id": "A", "page_views": 3}': "",
+        '{"activity_id": "A", "page_views": null, "more": "x"}': "",
+        '{"activity_id": "A", "page_views": 3.5, "duration_minutes": "4"}': "type:duration_minutes=4,type:page_views=3.5",
+        '{"activity_id": "A", "page_views": NaN}': "type:page_views=NaN",
+        '{"activity_id": "A", "activity_date": "2024-13-01"}': "type:activity_date=2024-13-01",
+        '{"activity_id": "A", "client_id": null, "page_views": {"n": 1}}': 'type:page_views={"n":1}',
+        "{}": "unreadable",
+        '["A"]': "unreadable",
+        "": "unreadable",
+    }
+    checked = envelope.with_violations(envelope.parse_messages(messages(spark, *texts), ACT), ACT)
+    assert {r.raw_value: r.violations for r in checked.collect()} == texts
+
+
 def test_unreadable_messages_are_set_aside_or_kept_as_nulls(spark):
     df = messages(spark, '{"activity_id": "A"}', "not json", None)
     rows, bad = envelope.read_messages(df, ACT)
@@ -238,3 +254,53 @@ def test_csv_cells_that_do_not_parse_are_set_aside(spark, tmp_path):
     assert [(r.payment_id, r.amount, r.payment_type) for r in sent] == [("a", 1.5, 'Say "hi", ok')]
     aside = spark.read.parquet(str(tmp_path / "aside" / "payments"))
     assert [r["_broken_line"] for r in aside.collect()] == [lines[2]]
+
+
+# --- offsets ---
+
+
+def test_a_run_keeps_its_offsets(spark, tmp_path):
+    root, topic, known = str(tmp_path), "t", [{0: 5, 1: 2}, {0: 9, 1: 2, 2: 1}, {0: 10}]
+    fix = lambda run, n, **more: offsets.fix(spark, root, topic, run, lambda: known[n], **more)
+    assert fix("1", 0) == fix("1", 1) == {0: (0, 5), 1: (0, 2)}
+    assert fix("2", 1, go_on=True) == {0: (5, 9), 1: (2, 2), 2: (0, 1)}
+    assert fix("3", 1) == {0: (0, 9), 1: (0, 2), 2: (0, 1)}
+    rows = spark.sql("SELECT explode(sequence(0, 9)) AS offset, 0 AS partition UNION ALL SELECT 0, 7")
+    assert sorted(r.offset for r in offsets.within(rows, {0: (5, 9)}).collect()) == [5, 6, 7, 8]
+    assert offsets.within(rows, {}).count() == 0 and offsets.ends(rows) == {0: 10, 7: 1}
+    assert offsets.kafka_options("t", {1: (2, 3), 0: (4, 5)}) == {
+        "startingOffsets": '{"t": {"0": 4, "1": 2}}', "endingOffsets": '{"t": {"0": 5, "1": 3}}',
+    }
+
+
+def test_appended_messages_have_offsets_of_their_own(spark, tmp_path):
+    for ids in ("AB", "CD"):
+        envelope.write_envelope(activities(spark, *ids).coalesce(1), str(tmp_path), "t")
+    assert sorted(r.offset for r in envelope.read_envelope(spark, str(tmp_path), "t").collect()) == [0, 1, 2, 3]
+
+
+def test_rows_of_one_pass_go_to_one_folder_or_the_other(spark, tmp_path):
+    root, ddl = str(tmp_path), "n bigint"
+    folders = (f"{root}/kept/a", ddl), (f"{root}/aside/a", ddl)
+    read = lambda side: sorted(r.n for r in spark.read.schema(ddl).parquet(f"{root}/{side}/a").collect())
+    write = lambda n, bad: io.write_halves(spark.range(n).selectExpr("id AS n", f"{bad} AS bad"), "bad", root, "a", *folders)
+    assert write(3, "false") == (3, 0) and read("kept") == [0, 1, 2] and not (tmp_path / "aside").exists()
+    assert write(4, "id > 1") == (2, 2) and (read("kept"), read("aside")) == ([0, 1], [2, 3])
+    assert write(2, "true") == (0, 2) and (read("kept"), read("aside")) == ([], [0, 1])
+    assert write(0, "true") == (0, 0) and (read("kept"), read("aside")) == ([], [])
+
+
+def test_shared_folder_is_never_a_local_one_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from clientlens import workspace
+
+    session = lambda master, **conf: SimpleNamespace(
+        conf=SimpleNamespace(get=lambda k, *d: conf.get(k.rsplit(".", 2)[1], d[0] if d else None)),
+        sparkContext=SimpleNamespace(master=master, applicationId="app"),
+    )
+    assert workspace.shared_folder(session("yarn", checkpoint="hdfs:///c/")) == "hdfs:///c"
+    assert workspace.shared_folder(session("local[2]", warehouse="file:/w")) == "file:/w/_staged"
+    assert workspace.shared_folder(session("yarn", warehouse="hdfs:///w")) == "hdfs:///w/_staged"
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        workspace.shared_folder(session("yarn", warehouse="file:/w"))

@@ -17,7 +17,7 @@ from clientlens.operators.dedup import dedup_entity
 from clientlens.operators.maintenance import replace_latest, sum_merge
 from clientlens.operators.offers import TEMPLATES, expand_offers, offers_with_ids
 from clientlens.operators.quality import split_quality
-from clientlens.operators.segmentation import combine_segments, latest_snapshot, segment_clients
+from clientlens.operators.segmentation import combine_segments, segment_clients
 from clientlens.plans import pipeline, reports
 from clientlens.schemas import DEDUPLICATED, ENTITIES, MARTS, Entity
 from clientlens.sources import buckets, catalog, envelope, files, layers as io, swap
@@ -165,6 +165,89 @@ def unreadable_messages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Field of an entity, and the text that stands in its place in a message of the wrong type.
+MISTYPED = {
+    "clients": ("birth_date", '"soon"'),
+    "bank_transactions": ("amount", '"12,50"'),
+    "client_logins": ("success", '"yes"'),
+    "client_activities": ("page_views", "3.5"),
+    "payments": ("amount", '{"rub": 1}'),
+    "portfolios": ("quantity", "[1,2]"),
+    "currency_rates": ("rate_value", "true"),
+}
+
+
+def json_type_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record as a good message and once more with one field of the wrong type: what is kept of each."""
+
+    def read(entity: Entity) -> DataFrame:
+        field, text = MISTYPED[entity.name]
+        good = envelope.to_messages(spark_entity(spark, sf, entity.name), entity.topic)
+        rest = envelope.to_messages(spark_entity(spark, sf, entity.name).drop(field), entity.topic)
+        bad = rest.withColumn("value", F.concat(F.lit(f'{{"{field}": {text},'), F.col("value").substr(F.lit(2), F.length("value"))))
+        kept, aside = envelope.read_messages(good.unionByName(bad), entity)
+        key = F.get_json_object("raw_value", f"$.{entity.key}")
+        return kept.select(F.lit(entity.name).alias("entity"), F.col(entity.key).alias("record"), F.lit("").alias("violations")).unionByName(
+            aside.select(F.lit(entity.name).alias("entity"), key.alias("record"), "violations")
+        )
+
+    return reduce(DataFrame.unionByName, [read(e) for e in ENTITIES.values()])
+
+
+def ingest_one_pass(spark: SparkSession, sf: str) -> DataFrame:
+    """Ingest and cleaning of messages that are other ones at each reading: rows kept and set aside add up to those read.
+
+    A third of the messages, drawn anew whenever they are read, is not JSON; a half of the rest breaks a contract.
+    """
+    layers = io.Layers(scratch_path(spark, "one-pass"))
+    path = write_messages(spark, sf, feed=feeds.faulty)
+
+    def changing(entity: Entity) -> DataFrame:
+        lost = F.rand() < 1 / 3
+        messages = envelope.read_envelope(spark, path, entity.topic)
+        return messages.withColumn("value", F.when(lost, F.lit(b"not json")).otherwise(F.col("value")))
+
+    lines = [*pipeline.ingest(spark, changing, layers, AS_OF, at=AT), *pipeline.clean_layer(spark, layers, AS_OF)]
+    if any(line.error for line in lines):
+        raise RuntimeError(f"ingest failed: {lines}")
+
+    def counted(entity: Entity) -> DataFrame:
+        day = F.col("processing_date") == F.lit(AS_OF).cast("date")
+        sides = {
+            "raw": io.read_raw(spark, layers.raw(entity, AS_OF), entity),
+            "unreadable": spark.read.parquet(layers.unreadable(entity, AS_OF)),
+            "cleaned": io.read_cleaned(spark, layers.cleaned(entity), entity).where(day),
+            "quarantine": spark.read.parquet(layers.quarantine(entity)).where(day),
+        }
+        sizes = [rows.agg(F.count("*").alias("n")).select(F.lit(side).alias("side"), "n") for side, rows in sides.items()]
+        found = reduce(DataFrame.unionByName, sizes).agg(*[F.max(F.when(F.col("side") == side, F.col("n"))).alias(side) for side in sides])
+        said = {line.table: line for line in lines if line.table == entity.raw_table}[entity.raw_table]
+        return found.select(
+            F.lit(entity.name).alias("entity"),
+            (F.col("raw") + F.col("unreadable")).alias("messages"),
+            ((F.col("raw") == said.rows) & (F.col("unreadable") == said.rejected)).alias("as_reported"),
+            (F.col("cleaned") + F.col("quarantine") == F.col("raw")).alias("nothing_lost"),
+        )
+
+    return reduce(DataFrame.unionByName, [counted(e) for e in ENTITIES.values()])
+
+
+def bounded_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Payments that two runs read, when more arrive after the first run's offsets were fixed; the first is read twice."""
+    entity, layers = ENTITIES["payments"], io.Layers(scratch_path(spark, "bounded"))
+    path = write_messages(spark, sf, [entity.name])
+
+    def run(name: str) -> DataFrame:
+        # Listed anew, as a run that is started again does.
+        read = pipeline.fixed_messages(spark, layers, lambda e: envelope.read_envelope(spark, path, e.topic), name, go_on=True)
+        return envelope.read_messages(read(entity), entity)[0].select(F.lit(name).alias("run"), entity.key)
+
+    run("2024-06-29")
+    late = spark_entity(spark, sf, entity.name).withColumn(entity.key, F.concat(F.lit("L"), F.col(entity.key)))
+    envelope.write_envelope(late, path, entity.topic, AT, 3)
+    return run("2024-06-29").unionByName(run("2024-06-30"))
+
+
 def send_metrics(spark: SparkSession, sf: str) -> DataFrame:
     parts = [
         envelope.send_report(feeds.faulty(spark_entity(spark, sf, e.name), e), e).drop("records_per_second")
@@ -229,12 +312,97 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 # --- segmentation and offers ------------------------------------------------
 
 
-def snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    """Two dates of the segmentation table on disk; the newest one is read back."""
+def history(spark: SparkSession, sf: str, *days: str) -> str:
+    """Folder of a segmentation table with the given dates."""
     path = io.Layers(scratch_path(spark, "history")).segmentation
-    dates = F.array(*[F.lit(day).cast("date") for day in (EARLIER, AS_OF)])
+    dates = F.array(*[F.lit(day).cast("date") for day in days])
     io.write_segmentation(segmented(spark, sf).withColumn("processing_date", F.explode(dates)), path)
-    return latest_snapshot(io.read_segmentation(spark, path))
+    return path
+
+
+def snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Two dates of the segmentation table on disk; the newest one is read back."""
+    return io.read_snapshot(spark, history(spark, sf, EARLIER, AS_OF))
+
+
+def snapshot_by_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Clients per segment of the runs that are final; their dates, found while the query runs, decide what is read."""
+    path, runs = history(spark, sf, "2024-06-28", EARLIER, AS_OF), scratch_path(spark, "runs")
+    said = f"('first', DATE '2024-06-28', 'draft'), ('second', DATE '{EARLIER}', 'final'), ('third', DATE '{AS_OF}', 'draft')"
+    spark.sql(f"SELECT * FROM VALUES {said} AS runs(run, processing_date, state)").write.parquet(runs)
+    final = spark.read.parquet(runs).where("state = 'final'")
+    found = io.of_runs(io.read_segmentation(spark, path), final)
+    return found.groupBy("run", "processing_date", "segment").agg(F.count("*").alias("clients"))
+
+
+# Filter on the segmentation -> a value of it.
+ACCESS = {"segment": "VIP", "city": "FRANCE", "status": "Inactive"}
+
+
+def clustered_reads(spark: SparkSession, sf: str) -> DataFrame:
+    """Clients found by segment, by city and by status in a segmentation whose files are narrow in all three."""
+    path = io.Layers(scratch_path(spark, "clustered")).segmentation
+    io.write_clustered(segmented(spark, sf), path, AS_OF, files=8)
+    rows = io.read_segmentation(spark, path)
+    parts = [
+        rows.where(F.col(c) == value).agg(F.count("*").alias("clients")).select(F.lit(c).alias("filter"), "clients")
+        for c, value in ACCESS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def co_located(spark: SparkSession, sf: str, salts: int = 1) -> dict[str, DataFrame]:
+    """Clients and facts as managed tables, bucketed by client."""
+    mark = uuid.uuid4().hex
+
+    def save(name: str) -> str:
+        table, rows = f"b_{name}_{mark}", spark_entity(spark, sf, name)
+        if name == "clients" or salts == 1:
+            catalog.save_co_located(rows, table, ["client_id"], buckets=8)
+        else:
+            catalog.save_co_located(catalog.salted(rows, ENTITIES[name].key, salts), table, ["client_id", "salt"], buckets=8)
+        return table
+
+    names = ("clients", *BY_ENTITY)
+    return dict(zip(names, map(spark.table, side_by_side(save, names))))
+
+
+def bucketed_segmentation(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments from tables bucketed by client: aggregated and joined where they lie."""
+    return segment_clients(co_located(spark, sf), AS_OF, AT)
+
+
+def bucketed_segmentation_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments from facts whose clients are spread over four buckets each, so that no client fills one."""
+    return segment_clients(co_located(spark, sf, salts=4), AS_OF, AT)
+
+
+# Join or filter whose rows are estimated -> SQL over the analysed tables.
+ESTIMATED = {
+    "clients": "SELECT * FROM {clients}",
+    "transactions": "SELECT * FROM {bank_transactions}",
+    "active clients": "SELECT * FROM {clients} WHERE status = 'Active'",
+    "half of the transactions": "SELECT * FROM {bank_transactions} WHERE amount < {median}",
+    "transactions of clients": "SELECT t.* FROM {clients} c JOIN {bank_transactions} t ON c.client_id = t.client_id",
+}
+
+
+def statistics_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that the cost-based optimizer expects of analysed tables, and whether they are within a fifth of the real ones."""
+    mark = uuid.uuid4().hex
+    names = {n: f"s_{n}_{mark}" for n in ("clients", "bank_transactions")}
+    for name, table in names.items():
+        spark_entity(spark, sf, name).write.saveAsTable(table)
+        catalog.analyze(spark, table, histograms=True)
+    median = spark.table(names["bank_transactions"]).agg(F.percentile_approx("amount", 0.5)).first()[0]
+    parts = []
+    for step, sql in ESTIMATED.items():
+        rows = spark.sql(sql.format(**names, median=f"CAST({median!r} AS DOUBLE)"))
+        expected = catalog.expected_rows(rows)
+        real = F.count("*")
+        near = F.abs(F.lit(expected) - real) <= F.greatest(0.2 * real, F.lit(2))
+        parts.append(rows.agg(real.alias("row_count"), near.alias("near")).select(F.lit(step).alias("step"), "row_count", "near"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def offer_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -595,6 +763,9 @@ def all_queries() -> dict[str, Query]:
         "parquet_scan_clients": parquet_scan,
         "topic_routing": topic_routing,
         "unreadable_messages": unreadable_messages,
+        "json_type_violations": json_type_violations,
+        "ingest_one_pass": ingest_one_pass,
+        "bounded_offsets": bounded_offsets,
         "send_metrics": send_metrics,
         "layered_write": layered_write,
         "external_tables": external_tables,
@@ -602,6 +773,11 @@ def all_queries() -> dict[str, Query]:
         "stream_ingest": stream_ingest,
         "client_segmentation": segmented,
         "latest_snapshot": snapshot,
+        "snapshot_by_run": snapshot_by_run,
+        "clustered_reads": clustered_reads,
+        "bucketed_segmentation": bucketed_segmentation,
+        "bucketed_segmentation_salted": bucketed_segmentation_salted,
+        "statistics_plan": statistics_plan,
         "combined_segments": combined,
         "targeted_offers": offers,
         "offer_ids": offer_ids,
