@@ -438,13 +438,15 @@ def client_mart_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def client_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """Client mart rows of three runs, two of them in one month."""
+    """Client mart rows of three runs, two of them in one month; the clients are computed once."""
+    runs = [F.struct(F.lit(n).alias("n"), F.lit(at).cast("timestamp").alias("at")) for n, at in enumerate((AT_EARLIER, AT, AT_NEXT_MONTH))]
     rows = client_mart(spark, sf)
-    runs = [
-        rows.withColumns({"last_updated": F.lit(at).cast("timestamp"), "activity_score": F.col("activity_score") + n})
-        for n, at in enumerate((AT_EARLIER, AT, AT_NEXT_MONTH))
-    ]
-    return reduce(DataFrame.unionByName, runs)
+    return rows.select("*", F.inline(F.array(*runs))).select(
+        *[
+            F.col("at").alias(c) if c == "last_updated" else (F.col(c) + F.col("n")).alias(c) if c == "activity_score" else F.col(c)
+            for c in rows.columns
+        ]
+    )
 
 
 def replaced(spark: SparkSession, sf: str) -> DataFrame:
@@ -452,9 +454,11 @@ def replaced(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily figures of two runs of one date."""
     mart = MARTS["marketing_analytics_daily"]
     daily = io.to_mart(reports.daily_segment_metrics(client_mart(spark, sf), AS_OF, AT), mart)
-    return daily.unionByName(daily.withColumn("created_at", F.lit(AT_NEXT_MONTH).cast("timestamp")))
+    runs = F.array(*[F.lit(at).cast("timestamp") for at in (AT, AT_NEXT_MONTH)])
+    return daily.withColumn("created_at", F.explode(runs))
 
 
 def summed(spark: SparkSession, sf: str) -> DataFrame:
