@@ -1,23 +1,30 @@
 """WARC derivatives: response, metadata and conversion records of web pages, linked and with digests.
 
 A page becomes a response record. Its metadata record holds facts about the page (title, language, links) as
-warc-fields, its conversion record the plain text. Both name the response in WARC-Refers-To and keep its
-target URI, date and payload digest. Record ids are name-based UUIDs of page, URL, kind and content, so a
-second run or attempt makes the same ones. Only DataFrame functions.
+warc-fields, its conversion record the plain text. Both name the response in WARC-Refers-To, with its target
+URI and date, and keep its payload digest in the extension field X-Source-Payload-Digest. Record ids are
+name-based UUIDs of page, URL, kind, content and the row's place in the input, so repeated rows have records of
+their own, and a second run over the same files or another attempt makes the same ones.
+
+Markup goes by expressions that run to the end of the page where a tag, a comment, a script or a style is not
+closed, so their time is in proportion to the page. Character references are decoded by Python's table of
+them, in Arrow batches; everything else is DataFrame functions.
 
 Cases: a null page body is an empty one; a null URL leaves the target URI out; a null id is written as an
-empty one; repeated rows give repeated records; an empty table gives no records; other columns are not
-looked at.
+empty one; control characters of a URL, a link or a language are percent-encoded in headers and fields, so they
+cannot begin a line; an empty table gives no records; other columns are not looked at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import html
+import re
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 CRLF = "\r\n"
 HTTP_HEAD = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}"
-# Named character references that are decoded, `&amp;` last (fixed values).
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 # Elements that end a line of text.
 BLOCKS = "address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
 
@@ -34,7 +41,8 @@ def base32_sha1(value: Column) -> Column:
 
 def record_id(*parts: Column) -> Column:
     """`<urn:uuid:...>` with a name-based UUID of the parts."""
-    digest = F.sha1(F.concat_ws("\0", *parts))
+    # The length of each part keeps parts apart, whatever characters they have.
+    digest = F.sha1(F.concat(*[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts]))
     at = lambda start, size: F.substring(digest, start, size)
     uuid = F.concat_ws(
         "-", at(1, 8), at(9, 4), F.concat(F.lit("5"), at(14, 3)), F.concat(F.lit("8"), at(18, 3)), at(21, 12)
@@ -42,17 +50,41 @@ def record_id(*parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">"))
 
 
-def plain_text(html: Column) -> Column:
-    """Text of a page: scripts, styles and comments go, blocks end lines, white space is tidied."""
-    text = F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>|<!--.*?-->", " ")
-    text = F.regexp_replace(text, rf"(?i)</?({BLOCKS})\b[^>]*>", "\n")
-    text = F.regexp_replace(text, r"<[/!a-zA-Z][^>]*>", "")
-    for name, sign in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(sign))
-    text = F.regexp_replace(text, r"[ \t\r\f]+", " ")
+# Up to the end of the page, where what is begun does not end.
+IN_TAG = r"[^>]*+(?:>|\z)"
+HIDDEN = rf"(?is)<!--.*?(?:-->|\z)|<(script|style)\b{IN_TAG}.*?(?:</\1\b{IN_TAG}|\z)"
+
+
+def without_markup(page: Column) -> Column:
+    """A page without scripts, styles, comments and tags; those of blocks end a line."""
+    text = F.regexp_replace(page, HIDDEN, " ")
+    text = F.regexp_replace(text, rf"(?i)</?(?:{BLOCKS})\b{IN_TAG}", "\n")
+    return F.regexp_replace(text, rf"<[/!a-zA-Z]{IN_TAG}", "")
+
+
+def tidied(text: Column) -> Column:
+    """White space put in order: no-break spaces are spaces, runs of spaces one, and runs with a line end a line end."""
+    text = F.regexp_replace(text, "[ \t\r\f\u00a0]+", " ")
     return F.trim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
+REFERENCE = re.compile(r"&#?\w")
+
+
+@F.pandas_udf(T.StringType())
+def decoded(texts: pd.Series) -> pd.Series:
+    """Texts with their character references decoded, named and numbered ones."""
+    return texts.map(lambda t: html.unescape(t) if t and REFERENCE.search(t) else t)
+
+
+def safe(value: Column) -> Column:
+    """Control characters percent-encoded."""
+    out = value
+    for code in (*range(32), 127):
+        out = F.replace(out, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    return F.when(value.rlike(r"[\x00-\x1f\x7f]"), out).otherwise(value)
+
+
 def _record(kind: str, own_id: Column, refers_to: Column, content_type: str, block: Column) -> Column:
     return F.struct(
         F.lit(kind).alias("record_type"), own_id.alias("record_id"), refers_to.alias("refers_to"),
@@ -81,13 +113,19 @@ def build_derivatives(
         ),
     )
     name = [F.coalesce(F.col("id").cast("string"), F.lit("")), F.coalesce("uri", F.lit("")), F.col("source_digest")]
+    place = F.monotonically_increasing_id().cast("string")
+    page = page.withColumns({"place": place, "text": decoded(without_markup(F.col("html")))})
+    name.append(F.col("place"))
     page = page.withColumn("response_id", record_id(F.lit("response"), *name))
-    title = F.trim(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title", 1))
-    links = F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*?href=\"([^\"]*)\""), F.lit(1))
+    title = F.trim(F.regexp_extract("html", rf"(?is)<title\b{IN_TAG}(.*?)(?:</title|\z)", 1))
+    anchors = F.regexp_extract_all("html", F.lit(rf"(?i)<a\s{IN_TAG}"), F.lit(0))
+    links = F.transform(anchors, lambda a: F.regexp_extract(a, r"(?i)\shref=\"([^\"]*+)\"", 1))
+    links = F.filter(links, lambda x: x != "")
+    language = F.regexp_extract(F.regexp_extract("html", rf"(?i)<html\b{IN_TAG}", 0), r"(?i)\slang=\"([^\"]*+)\"", 1)
     fields = F.concat(
-        F.lit("title: "), F.regexp_replace(title, r"\s+", " "), F.lit(CRLF),
-        F.lit("language: "), F.regexp_extract("html", r"(?i)<html[^>]*\slang=\"([^\"]*)\"", 1), F.lit(CRLF),
-        F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), x, F.lit(CRLF))), ""),
+        F.lit("title: "), safe(F.regexp_replace(title, r"\s+", " ")), F.lit(CRLF),
+        F.lit("language: "), safe(language), F.lit(CRLF),
+        F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), safe(x), F.lit(CRLF))), ""),
     )
     response = F.concat("source_headers", F.lit(CRLF), "html")
     derived = F.col("response_id")
@@ -96,7 +134,7 @@ def build_derivatives(
         _record("metadata", record_id(F.lit("metadata"), *name), derived, "application/warc-fields", fields),
         _record(
             "conversion", record_id(F.lit("conversion"), *name), derived, "text/plain; charset=utf-8",
-            plain_text(F.col("html")),
+            tidied(F.col("text")),
         ),
     )
     records = page.select("id", "uri", "source_digest", "source_headers", F.inline(kinds)).select(
@@ -108,15 +146,18 @@ def build_derivatives(
     records = records.withColumn(
         "payload_digest", F.when(F.col("record_type") == "response", F.col("source_digest")).otherwise(F.col("block_digest"))
     )
+    derivative = F.col("refers_to").isNotNull()
     line = lambda label, value: F.coalesce(F.concat(F.lit(f"{label}: "), value, F.lit(CRLF)), F.lit(""))
     headers = F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
         line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", F.col("record_id")),
         line("WARC-Date", F.lit(date)),
-        line("WARC-Target-URI", F.col("uri")),
+        line("WARC-Target-URI", safe(F.col("uri"))),
         line("WARC-Refers-To", F.col("refers_to")),
-        line("WARC-Source-Payload-Digest", F.when(F.col("refers_to").isNotNull(), F.col("source_digest"))),
+        line("WARC-Refers-To-Target-URI", F.when(derivative, safe(F.col("uri")))),
+        line("WARC-Refers-To-Date", F.when(derivative, F.lit(date))),
+        line("X-Source-Payload-Digest", F.when(derivative, F.col("source_digest"))),
         line("WARC-Block-Digest", F.col("block_digest")),
         line("WARC-Payload-Digest", F.col("payload_digest")),
         line("Content-Type", F.col("content_type")),
