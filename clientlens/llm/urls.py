@@ -1,12 +1,12 @@
 """URL filter: host-suffix and path-prefix expressions, matched by hash prefix, confirmed by full digest.
 
-A URL is expanded into every suffix of its host (by labels) with every prefix of its path that has the
-length of some rule's path. Expressions meet rules in an equi-join on the first hex digits of a SHA-256
+A URL is expanded into every suffix of its host that has as many labels as some rule's host, with every prefix
+of its path that is as long as some rule's path. Expressions meet rules in an equi-join on the first hex digits of a SHA-256
 digest; the full digest confirms. The longest fitting rule decides (ties: longer host, then `block`).
 
-Cases: a null URL or one without `://` has an empty host and path and fits no rule; a repeated row is
-answered each time; an empty table gives no rows; no rules give the default verdict; columns other than
-the two named are not looked at.
+Cases: a null URL or one without `://` has an empty host and path and fits no rule; a repeated row is a row of
+its own; an empty table gives no rows; no rules give the default verdict; columns other than the two named are
+not looked at; the time for a URL is in proportion to its length, however many labels it has.
 """
 
 from __future__ import annotations
@@ -26,23 +26,17 @@ def host_and_path(url):
     return host, path
 
 
-def expressions(host, path, lengths):
-    """Array of structs (expr_host, expr_path): suffixes of the host with prefixes of the path."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
-    prefixes = F.transform(
-        F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length(path)),
-        lambda n: F.substr(path, F.lit(1), n),
-    )
-    return F.flatten(
-        F.transform(
-            suffixes,
-            lambda s: F.transform(prefixes, lambda p: F.struct(s.alias("expr_host"), p.alias("expr_path"))),
-        )
+def expressions(host, path, labels, lengths):
+    """Array of structs (expr_host, expr_path): host suffixes of some numbers of labels, path prefixes of some lengths."""
+    count = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    suffixes = F.array(*[F.when(count >= n, F.substring_index(host, ".", -n)) for n in labels])
+    prefixes = F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths])
+    there = lambda x: x.isNotNull()
+    pairs = F.transform(
+        F.filter(suffixes, there),
+        lambda s: F.transform(F.filter(prefixes, there), lambda p: F.struct(s.alias("expr_host"), p.alias("expr_path"))),
     )
+    return F.flatten(pairs)
 
 
 def filter_urls(
@@ -53,33 +47,41 @@ def filter_urls(
     url_col: str = "url",
     default: str = "allow",
     prefix_digits: int = 8,
+    salts: int = 32,
+    few_rules: int = 10_000,
 ) -> DataFrame:
     """(id, host, path, rule, verdict) of every row of `urls`.
 
-    `rules` has the columns host, path, action. The distinct lengths of the rules' paths come to the driver;
-    there are at most as many as the longest path has characters. A rule table of any size works: Spark
-    broadcasts it below its size limit and otherwise joins by shuffle.
+    `rules` has the columns host, path, action. The different numbers of labels and lengths of paths that rules
+    have come to the driver; there are at most as many as the longest host and path have characters. A rule table
+    of any size works: Spark broadcasts it below its size limit and otherwise joins by shuffle. Over
+    `few_rules` rules, which may be too many to broadcast, each stands in `salts` copies, so that an expression that nearly all
+    URLs have, as that of a top-level domain, is met in as many tasks.
     """
     rules = rules.select(
         F.translate("host", UPPER, LOWER).alias("rule_host"), F.col("path").alias("rule_path"), "action"
     ).where("rule_host is not null and rule_path is not null")
-    lengths = sorted(r[0] for r in rules.select(F.length("rule_path")).distinct().collect())
+    kinds = rules.groupBy(F.size(F.split("rule_host", r"\.")), F.length("rule_path")).agg(F.count("*")).collect()
+    labels, lengths = (sorted({r[n] for r in kinds}) for n in (0, 1))
+    salts = salts if sum(r[2] for r in kinds) > few_rules else 1
     digest = lambda host, path: F.sha2(F.concat(host, F.lit("\0"), path), 256)
     keyed = rules.withColumn("rule_digest", digest("rule_host", "rule_path"))
     keyed = keyed.withColumn("prefix", F.substr("rule_digest", F.lit(1), F.lit(prefix_digits)))
 
     host, path = host_and_path(F.col("url"))
-    pages = (
-        urls.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
-        .select("id", host.alias("host"), path.alias("path"))
-        .groupBy("id", "host", "path")
-        .agg(F.count("*").alias("times"))
+    pages = urls.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")).select(
+        "id", host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row")
     )
-    fits = F.when(F.col("host") != "", expressions(F.col("host"), F.col("path"), lengths))
+    fits = F.when(F.col("host") != "", expressions(F.col("host"), F.col("path"), labels, lengths))
     expanded = pages.select("*", F.explode_outer(fits).alias("e")).select(
-        "id", "host", "path", "times", digest("e.expr_host", "e.expr_path").alias("digest")
+        "id", "host", "path", "row", digest("e.expr_host", "e.expr_path").alias("digest")
     )
     expanded = expanded.withColumn("prefix", F.substr("digest", F.lit(1), F.lit(prefix_digits)))
+    meet = ["prefix"]
+    if salts > 1:
+        expanded = expanded.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
+        keyed = keyed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        meet.append("salt")
     # The digest confirms after the prefix has matched; as a value it cannot become a join key of its own.
     confirmed = F.col("digest") == F.col("rule_digest")
     rank = F.struct(
@@ -90,8 +92,8 @@ def filter_urls(
         F.col("action"),
     )
     best = (
-        expanded.join(keyed, "prefix", "left")
-        .groupBy("id", "host", "path", "times")
+        expanded.join(keyed, meet, "left")
+        .groupBy("row", "id", "host", "path")
         .agg(F.max(F.when(confirmed, rank)).alias("best"))
     )
     return best.select(
@@ -100,5 +102,4 @@ def filter_urls(
         "path",
         F.col("best.rule").alias("rule"),
         F.coalesce("best.action", F.lit(default)).alias("verdict"),
-        F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("again"),
-    ).drop("again")
+    )
