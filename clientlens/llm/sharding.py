@@ -3,11 +3,12 @@
 Every record has a key that orders by text hash, then id: equal texts lie side by side, yet no text is one
 indivisible key. Keys are drawn with a chance in proportion to their size; quantiles of the drawn keys cut
 the key space into ranges of about equal size. The ranges are then measured over all records, ranges far
-above their share are cut again by a hash, and exact running sizes place each record: shard boundaries lie
-at exact byte shares, so a shard differs from the mean by less than the records on its two edges.
+above their share are cut again at quantiles of keys drawn inside them, and exact running sizes place each record:
+shard boundaries lie at exact byte shares, so a shard differs from the mean by less than the records on its
+two edges, and shards, ranges and slots all follow the order of keys.
 
-Only DataFrame functions. What reaches the driver are the drawn keys and the sizes of ranges, both of
-bounded number.
+Only DataFrame functions. What reaches the driver are the drawn keys and the sizes of ranges: at most
+`most_ranges` ranges, or what the shards need, and `drawn_per_range` keys for each, however many records there are.
 
 Cases: a null text has size 1 and the checksum of an empty text; repeated rows (same id and text) are
 placed one by one; null ids are allowed; an empty table gives no rows; other columns are not looked at.
@@ -33,6 +34,11 @@ def _chance(value: Column, seed: str) -> Column:
     return F.abs(F.xxhash64(value, F.lit(seed)).cast("double")) / SPAN
 
 
+def _quantiles(keys: list[str], parts: int) -> list[str]:
+    """Different keys that cut a sorted list into `parts` parts of about equal length."""
+    return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
+
+
 def _below(key: Column, splitters: list[str]) -> Column:
     """How many of the sorted splitters are at or below the key, found in two steps of about the square root."""
     step = isqrt(len(splitters)) + 1
@@ -53,11 +59,13 @@ def shard_records(
     rows_per_range: int = 1_000_000,
     drawn_per_range: int = 16,
     overfull: float = 3.0,
+    most_ranges: int = 8192,
 ) -> DataFrame:
     """(id, size, text_crc32, shard, slot) of every record; shards have nearly equal sizes.
 
-    slot counts from 0 in each shard, in key order. There are shards x ranges_per_shard ranges, or more
-    where the records are so many that a range would hold over rows_per_range of them.
+    slot counts from 0 in each shard, in key order. There are shards x ranges_per_shard ranges, or more, up to
+    `most_ranges`, where the records are so many that a range would hold over rows_per_range of them. Ranges
+    are sorted by a task each; records beyond memory are sorted on disk.
     """
     keys = records.select(
         F.col(id_col).alias("id"),
@@ -72,33 +80,40 @@ def shard_records(
     keys = staged(keys, "shard-keys")
     total, count = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
 
-    ranges = max(shards * ranges_per_shard, ceil(count / rows_per_range))
-    drawn = keys.where(_chance(F.col("key"), "draw") * total < F.col("size") * (ranges * drawn_per_range))
-    ordered = sorted(r[0] for r in drawn.select("key").collect())
-    splitters = sorted({ordered[len(ordered) * i // ranges] for i in range(1, ranges)} if ordered else {""})
-    keys = keys.withColumn("range", _below(F.col("key"), splitters))
-
-    # Ranges above their share are cut again; how often is a value of the measured size.
+    ranges = max(shards * ranges_per_shard, min(ceil(count / rows_per_range), most_ranges))
     share = max(total / ranges, 1.0)
-    parts = keys.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).select(
+    chance = _chance(F.col("key"), "draw")
+    drawn = keys.where(chance * share < F.col("size") * drawn_per_range).select("key")
+    splitters = _quantiles(sorted(r[0] for r in drawn.collect()), ranges) or [""]
+
+    # Ranges above their share are cut again, at keys drawn inside them. Together they hold no more than all
+    # records do, so there are at most as many cuts as ranges, and ranges by rows likewise.
+    most = count / ranges
+    sizes = keys.groupBy(_below(F.col("key"), splitters).alias("range")).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    cuts = F.ceil(F.greatest(F.col("bytes") / F.lit(share), F.col("n") / F.lit(most or 1)))
+    full = sizes.where((F.col("bytes") > overfull * share) | (F.col("n") > overfull * most)).select("range", "bytes", "n", cuts.alias("cuts"))
+    full = {r["range"]: r for r in full.collect()}
+    if full:
+        inside = keys.withColumn("range", _below(F.col("key"), splitters)).where(F.col("range").isin(list(full)))
+        of = lambda field: F.element_at(F.create_map(*[F.lit(x) for k, r in full.items() for x in (k, r[field])]), F.col("range"))
+        # By bytes or by rows, whichever there is more of.
+        weight = F.greatest(F.col("size") / of("bytes"), 1 / of("n"))
+        drawn = inside.where(_chance(F.col("key"), "cut") < weight * of("cuts") * drawn_per_range).select("range", "key")
+        of_range: dict[int, list[str]] = {}
+        for name, key in sorted(tuple(r) for r in drawn.collect()):
+            of_range.setdefault(name, []).append(key)
+        for name, found in of_range.items():
+            splitters += _quantiles(found, full[name]["cuts"])
+        splitters = sorted(set(splitters))
+    keys = staged(keys.withColumn("range", _below(F.col("key"), splitters)), "shard-ranges")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = keys.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).select(
         "range",
-        F.greatest(
-            F.when(F.col("bytes") > overfull * share, F.ceil(F.col("bytes") / share)).otherwise(1),
-            F.ceil(F.col("n") / rows_per_range),
-        ).alias("cuts"),
-    )
-    keys = staged(
-        keys.join(parts, "range").withColumn("cut", F.floor(_chance(F.col("key"), "cut") * F.col("cuts"))),
-        "shard-ranges",
-    )
-    before = Window.orderBy("range", "cut").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = keys.groupBy("range", "cut").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).select(
-        "range", "cut",
         F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes_before"),
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"),
     )
-    inside = Window.partitionBy("range", "cut").orderBy("key")
-    placed = keys.join(offsets, ["range", "cut"]).select(
+    inside = Window.partitionBy("range").orderBy("key")
+    placed = keys.join(offsets, "range").select(
         "id", "size", "text_crc32",
         (F.col("bytes_before") + F.sum("size").over(inside) - F.col("size")).alias("at"),
         (F.col("rows_before") + F.row_number().over(inside) - 1).alias("rank"),
