@@ -44,31 +44,43 @@ def byte_signs() -> list[str]:
     return [chr(b if b in printable else 256 + others.index(b)) for b in range(256)]
 
 
+# Texts that tell whether a vocabulary takes words apart as LATIN_PIECES does, and text at white space.
+PROBES = ("plain", "We'll", "x1y22", "ÀÉßø", "a.b,c!", "--=", "(it's)", "don't2", "naïve", "UPPER")
+SPACED = ("ab cd", "ab  cd\n\tef", " ab.", "ab \u00a0 cd ")
+
+
 def encoder(path: str, most: int = 600_000) -> Callable[[str], np.ndarray]:
     """Text -> ids of the tokenizer file at `path`, as it gives them itself without special tokens added.
 
-    The vocabulary drops white space, so a text's ids are those of its words in a row. Words are encoded
-    once and remembered.
+    Where the vocabulary drops white space, a text's ids are those of its words in a row, and words are encoded once and
+    remembered; where it takes words apart in the common way, plain ones go to its merges at once. Both are
+    tried out on fixed texts; a vocabulary of another make encodes every text as a whole.
     """
     own = Tokenizer.from_file(path)
     merges, shown = own.model, byte_signs()
-    pack = lambda ids: array("H", ids).tobytes()
+    code = "H" if own.get_vocab_size() <= 1 << 16 else "I"
+    pack = lambda ids: array(code, ids).tobytes()
     signs = lambda word: word if word.isascii() else "".join([shown[b] for b in word.encode()])
     words = Memo(lambda word: pack([t.id for t in merges.tokenize(signs(word))]), most)
     whole = lambda text: pack(own.encode(text, add_special_tokens=False).ids)
+    plain = lambda text: b"".join([words[w] for w in LATIN_PIECES.findall(text.lower())])
+    direct = all(plain(p) == whole(p) for p in PROBES)
+    apart = all(b"".join(map(whole, t.split())) == whole(t) for t in SPACED)
 
     def chunk(text: str) -> bytes:
         # Plain words go to the merges at once; the tokenizer's own way is several times slower.
-        if PLAIN.fullmatch(text) and "<|" not in text:
-            return b"".join([words[w] for w in LATIN_PIECES.findall(text.lower())])
+        if direct and PLAIN.fullmatch(text) and "<|" not in text:
+            return plain(text)
         return whole(text)
 
     chunks = Memo(chunk, most)
 
     def ids(text: str) -> np.ndarray:
-        if OTHER_SPACE.search(text):
-            return np.frombuffer(whole(text), dtype=np.uint16)
-        return np.frombuffer(b"".join(map(chunks.__getitem__, text.split())), dtype=np.uint16)
+        if not apart or OTHER_SPACE.search(text):
+            packed = whole(text)
+        else:
+            packed = b"".join(map(chunks.__getitem__, text.split()))
+        return np.frombuffer(packed, dtype=code).astype(np.uint32)
 
     return ids
 
@@ -158,7 +170,7 @@ def pack_documents(
             made += 1
 
         windows = Windows(capacity, open_windows, least_piece, emit)
-        end = np.array([end_id], dtype=np.uint16)
+        end = np.array([end_id], dtype=np.uint32)
         for batch in slices(batches, "text"):
             key_type = batch.schema.field("id").type
             for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
@@ -178,7 +190,7 @@ def pack_documents(
         windows = Windows(capacity, 1, 1, lambda p: rows.extend(rows_of(p, MERGED + (group << 32) + len(rows))))
         columns = (table.column(c).to_pylist() for c in ("id", "doc_tokens", "start", "ids"))
         for key, tokens, start, ids in zip(*columns):
-            windows.put((key, tokens), start, np.frombuffer(ids, dtype=np.uint16))
+            windows.put((key, tokens), start, np.frombuffer(ids, dtype=np.uint32))
         for window in list(windows.open):
             windows.close(window)
         return pa.Table.from_batches([batch_of(rows, table.schema.field("id").type)])
