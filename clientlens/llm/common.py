@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clientlens.workspace import scratch_path
 
+# Rows and bytes of a bin of blocks, on average.
+BIN_ROWS, BIN_BYTES = 4096, 32_000_000
+
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The rows of df, written to the shared folder and read again.
@@ -20,7 +23,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    rows.staged_path = path
+    return rows
+
+
+def release(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing will read any more."""
+    place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+    place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,17 +59,32 @@ def drawn(rows: DataFrame, column: str, most: int) -> DataFrame:
     return chosen
 
 
+def binned(df: DataFrame, keys: list[str], rows: int, bytes_each: float) -> DataFrame:
+    """A bin for each block, by its keys: many small blocks share a call of the function.
+
+    There are as many bins as the rows need, so what a task holds at a time does not grow with them. A block's
+    rows are bounded by the size of its chunks.
+    """
+    bins = max(1, -(-rows // BIN_ROWS), int(rows * bytes_each / BIN_BYTES))
+    return df.withColumn("bin", F.pmod(F.xxhash64(*keys), F.lit(bins)))
+
+
 class Memo(dict):
-    """Values of a function by its argument, forgotten all at once when more than `most` are held."""
+    """Values of a function by its argument, a text; forgotten all at once when more than `most` are held or their
+    arguments have over `letters` letters. Values of arguments of over `long` letters are not held."""
 
-    def __init__(self, make: Callable, most: int) -> None:
+    def __init__(self, make: Callable, most: int, letters: int = 16_000_000, long: int = 200) -> None:
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.letters, self.long, self.held = make, most, letters, long, 0
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(key) <= self.long:
+            if len(self) >= self.most or self.held >= self.letters:
+                self.clear()
+                self.held = 0
+            self[key] = value
+            self.held += len(key)
         return value
 
 

@@ -13,8 +13,8 @@ a number of copies. Links are counted and joined inside the tasks, so no row is
 
 Cases: vectors that are null, empty or zero, or hold null or non-finite components, link with nothing, and so do
 rows whose label is null; vectors of different lengths do not link; a repeated id is a vector of its own for
-links and its component is that of the smallest id; null ids are left out of links; an empty table gives no
-rows; other columns are not looked at.
+links and its component is that of the smallest id; a row with a null id links like any other, and is kept if
+nothing that it reaches has an id; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clientlens.llm.common import staged
+from clientlens.llm.common import binned, staged
 from clientlens.llm.graph import connected_components
 
 SEED = 20240817
@@ -92,10 +92,11 @@ def near_duplicates(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast(kind).alias("v")
     )
     finite = lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))
-    good = "label is not null and id is not null and v is not null"
+    good = "label is not null and v is not null"
     valid = rows.where(good).where(F.forall("v", finite) & F.exists("v", lambda x: x != 0))
     distinct = valid.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    distinct = staged(distinct.withColumn("node", F.xxhash64("label", "v")), "distinct-vectors")
+    # Numbers instead of hashes: no two vectors share one.
+    distinct = staged(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct-vectors")
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each vector with its cells in all tables."""
@@ -109,8 +110,8 @@ def near_duplicates(
                 marks = np.floor(marks + _memo(1, tables * cell_projections, 2)[0]).astype(np.int64)
                 found.append([hash((t, len(x), *row)) for t, row in enumerate(marks.reshape(tables, -1).tolist())])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("node", "v", "copies", "label_key")), pa.array(found, pa.list_(pa.int64()))],
-                ["node", "v", "copies", "label_key", "cells"],
+                [*(batch.column(c) for c in ("node", "v", "copies", "label")), pa.array(found, pa.list_(pa.int64()))],
+                ["node", "v", "copies", "label", "cells"],
             )
 
     known: dict[tuple[int, int, int], np.ndarray] = {}
@@ -121,37 +122,37 @@ def near_duplicates(
             known[size, count, seed] = _directions(size, count, seed)
         return known[size, count, seed]
 
-    marked = distinct.select("node", "v", "copies", F.xxhash64("label").alias("label_key")).mapInArrow(
-        cells, f"node long, v {kind}, copies long, label_key long, cells array<long>"
+    label = distinct.schema["label"].dataType.simpleString()
+    marked = distinct.select("node", "v", "copies", "label").mapInArrow(
+        cells, f"node long, v {kind}, copies long, label {label}, cells array<long>"
     )
     marked = staged(marked, "vector-cells")
     # Cells with one vector go before the vectors travel; large ones are cut into chunks that meet pairwise.
-    members = marked.select("node", "label_key", F.posexplode("cells").alias("t", "cell"))
-    sizes = members.groupBy("label_key", "t", "cell").agg(F.count("*").alias("n")).where("n > 1")
-    spots = members.join(sizes, ["label_key", "t", "cell"]).select(
-        "node", "label_key", "t", "cell", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")
-    )
+    members = marked.select("node", "label", F.posexplode("cells").alias("t", "cell"))
+    sizes = staged(members.groupBy("label", "t", "cell").agg(F.count("*").alias("n")).where("n > 1"), "cell-sizes")
+    chunks = F.ceil(F.col("n") / chunk)
+    spots = members.join(sizes, ["label", "t", "cell"]).select("node", "t", "cell", chunks.cast("int").alias("chunks"))
     mine = F.pmod(F.xxhash64("node", "t"), F.col("chunks")).cast("int")
     meets = F.sequence(F.lit(0), F.col("chunks") - 1)
     spots = spots.withColumn("mine", mine).withColumn("other", F.explode(meets)).select(
-        "node", "t", "mine",
-        F.xxhash64("label_key", "t", "cell", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"),
-        (F.col("mine") < F.col("other")).alias("low"), (F.col("mine") == F.col("other")).alias("same"),
+        "node", "t", "cell", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
+        (F.col("mine") > F.col("other")).alias("second"),
     )
-    # Many small blocks share a group, so that a call of the function is worth its cost.
-    bins = max(8, int(spots.sparkSession.conf.get("spark.sql.shuffle.partitions"))) * 4
-    work = spots.join(marked.drop("label_key"), "node").withColumn("bin", F.pmod("block", F.lit(bins)))
+    placed = sizes.agg(F.sum(F.col("n") * chunks)).first()[0] or 0
+    wide = marked.agg(F.avg(F.size("v"))).first()[0] or 0
+    keys = ["label", "t", "cell", "low", "high"]
+    work = binned(spots.join(marked, "node"), keys, placed, 8 * (wide + projections + tables))
 
     def compare(table: pa.Table) -> pa.Table:
-        nodes = table.column("node").to_numpy()
-        blocks, t = table.column("block").to_numpy(), table.column("t").to_numpy()
-        low = table.column("low").to_numpy(zero_copy_only=False)
-        same = table.column("same").to_numpy(zero_copy_only=False)
+        nodes, t = table.column("node").to_numpy(), table.column("t").to_numpy()
+        second = table.column("second").to_numpy(zero_copy_only=False)
         copies, marks = table.column("copies").to_numpy(), np.array(table.column("cells").to_pylist())
         values = table.column("v").combine_chunks()
         flat, cut = values.values.to_numpy(), values.offsets.to_numpy()
-        order = np.argsort(blocks, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(blocks[order]) != 0])
+        label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        keys = [label, t, *(table.column(c).to_numpy() for c in ("cell", "low", "high"))]
+        order = np.lexsort(keys[::-1])
+        starts = np.flatnonzero(np.r_[True, np.any([np.diff(k[order]) != 0 for k in keys], axis=0)])
         links: dict[int, int] = {}
         edges: list[tuple[int, int]] = []
         for group in np.split(order, starts[1:]):
@@ -160,18 +161,19 @@ def near_duplicates(
             x = np.stack([flat[cut[i] : cut[i + 1]] for i in group]).astype(np.float64)
             x = x / np.abs(x).max(axis=1, keepdims=True)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
-            first = np.flatnonzero(low[group] | same[group])
-            second = first if same[group[0]] else np.flatnonzero(~low[group])
+            same = keys[3][group[0]] == keys[4][group[0]]
+            left = np.arange(len(group)) if same else np.flatnonzero(~second[group])
+            right = left if same else np.flatnonzero(second[group])
             values_of = x @ _memo(x.shape[1], projections, 3)
-            hits = collisions(values_of[first], values_of[second], window) >= least
+            hits = collisions(values_of[left], values_of[right], window) >= least
             earlier = np.zeros(hits.shape, dtype=bool)
             for table_no in range(t[group[0]]):
-                earlier |= marks[group[first], table_no][:, None] == marks[group[second], table_no][None, :]
+                earlier |= marks[group[left], table_no][:, None] == marks[group[right], table_no][None, :]
             hits &= ~earlier
-            if same[group[0]]:
-                hits &= np.tri(len(first), dtype=bool).T & ~np.eye(len(first), dtype=bool)
+            if same:
+                hits &= np.tri(len(left), dtype=bool).T & ~np.eye(len(left), dtype=bool)
             a, b = np.nonzero(hits)
-            a, b = first[a], second[b]
+            a, b = left[a], right[b]
             linked = np.einsum("ij,ij->i", x[a], x[b]) >= threshold
             a, b = group[a[linked]], group[b[linked]]
             for i, n in zip([*a, *b], [*copies[b], *copies[a]]):
@@ -196,12 +198,12 @@ def near_duplicates(
             F.coalesce("component_id", "id").alias("component_id"),
         )
     )
-    joined = rows.join(answers, (F.col("label") == F.col("rep_label")) & (F.col("v") == F.col("rep_v")) & F.col("id").isNotNull(), "left")
+    joined = rows.join(answers, (F.col("label") == F.col("rep_label")) & (F.col("v") == F.col("rep_v")), "left")
     return joined.select(
         F.col("id").alias(id_col),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "id").alias("component_id"),
-    ).withColumn("kept", F.col(id_col) == F.col("component_id"))
+    ).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:

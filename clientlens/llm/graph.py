@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from clientlens.llm.common import staged
+from clientlens.llm.common import release, staged
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -31,6 +31,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         jumps = names.select(F.col("node").alias("name"), F.col("component").alias("next"))
         step = step.join(jumps, "name", "left").select("node", F.least("name", "next").alias("component"), "was")
         step = staged(step, "names")
+        release(names)
         names = step.select("node", "component")
+        names.staged_path = step.staged_path
         if not step.where("component <> was").limit(1).count():
+            release(both)
             return names

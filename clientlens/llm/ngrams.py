@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from clientlens.llm.common import Memo, slices, staged
+from clientlens.llm.common import Memo, binned, slices, staged
 from clientlens.llm.embeddings import spanning
 from clientlens.llm.graph import connected_components
 
@@ -136,36 +136,28 @@ def common_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, wide: in
 
 def _blocks(members: DataFrame, group: str, sizes: DataFrame, chunk: int) -> DataFrame:
     """Members (node, group) of groups of known size, dealt to blocks: one for each pair of chunks of a group."""
-    spots = members.join(sizes, group).select("node", group, F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
-    spots = spots.withColumn("mine", F.pmod(F.xxhash64("node", group), F.col("chunks")).cast("int"))
+    spots = members.join(sizes, group).select("node", F.col(group).alias("of"), F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+    spots = spots.withColumn("mine", F.pmod(F.xxhash64("node", "of"), F.col("chunks")).cast("int"))
     spots = spots.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     return spots.select(
-        "node",
-        F.xxhash64(group, F.least("mine", "other"), F.greatest("mine", "other")).alias("block"),
-        (F.col("mine") > F.col("other")).alias("high"),
-        (F.col("mine") == F.col("other")).alias("same"),
-    )
-
-
-def _binned(df: DataFrame) -> DataFrame:
-    """A bin for each block: many small blocks share a call of the function."""
-    bins = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) * 4
-    return df.withColumn("bin", F.pmod("block", F.lit(bins)))
+        "node", "of", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
+        (F.col("mine") > F.col("other")).alias("second"),
+    )
 
 
 def _each_block(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """Rows of the two sides of each block of a bin; of one that is a chunk with itself, the same rows twice."""
-    blocks = table.column("block").to_numpy()
-    high = table.column("high").to_numpy(zero_copy_only=False)
-    same = table.column("same").to_numpy(zero_copy_only=False)
-    order = np.argsort(blocks, kind="stable")
-    for group in np.split(order, np.flatnonzero(np.diff(blocks[order])) + 1):
+    keys = [table.column(c).to_numpy() for c in ("of", "low", "high")]
+    second = table.column("second").to_numpy(zero_copy_only=False)
+    order = np.lexsort(keys[::-1])
+    begins = np.any([np.diff(k[order]) != 0 for k in keys], axis=0)
+    for group in np.split(order, np.flatnonzero(begins) + 1):
         if not len(group):
             continue
-        if same[group[0]]:
+        if keys[1][group[0]] == keys[2][group[0]]:
             yield group, group, True
         else:
-            yield group[~high[group]], group[high[group]], False
+            yield group[~second[group]], group[second[group]], False
 
 
 def _signatures(table: pa.Table) -> np.ndarray:
@@ -212,7 +204,8 @@ def similar_documents(
     described = staged(texts.mapInArrow(describe, "id long, mark binary, sig binary"), "ngram-signatures")
     usable = described.where("id is not null and mark is not null")
     sets = usable.groupBy("mark").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
-    sets = staged(sets.withColumn("node", F.xxhash64("mark")), "ngram-sets")
+    # Numbers instead of hashes: no two sets share one.
+    sets = staged(sets.withColumn("node", F.monotonically_increasing_id()), "ngram-sets")
 
     # Buckets of bands: pairs that survive the comparison of values, as links of a spanning forest.
     width_of = 4 * band_rows
@@ -232,7 +225,10 @@ def similar_documents(
         a, b = zip(*set(found)) if found else ((), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    work = _binned(spots.join(sets.select("node", "sig"), "node"))
+    keys = ["of", "low", "high"]
+    chunks = F.ceil(F.col("n") / (2 * chunk))
+    rows = crowded.agg(F.sum(F.col("n") * chunks)).first()[0] or 0
+    work = binned(spots.join(sets.select("node", "sig"), "node"), keys, rows, 4 * values)
     groups = connected_components(work.groupBy("bin").applyInArrow(survive, "a long, b long"))
 
     # Exact sets of what is left, compared within the groups.
@@ -279,7 +275,9 @@ def similar_documents(
         columns = list(zip(*found)) if found else [(), (), ()]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["node", "n", "to"])
 
-    work = _binned(spots.join(exact, "node"))
+    rows = sizes.agg(F.sum(F.col("n") * F.ceil(F.col("n") / chunk))).first()[0] or 0
+    each = exact.agg(F.avg(F.length("runs") + F.length("sig"))).first()[0] or 0.0
+    work = binned(spots.join(exact, "node"), keys, rows, each)
     found = staged(work.groupBy("bin").applyInArrow(verify, "node long, n long, to long"), "ngram-links")
     names = connected_components(found.where("to is not null").select(F.col("node").alias("a"), F.col("to").alias("b")))
     named = staged(names.join(sets.select("node", "id"), "node"), "ngram-names")
