@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -126,12 +127,16 @@ def test_vectors_odd_cases(spark):
     rows = [
         (1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [], 1),
         (6, [0.0, 0.0], 1), (7, [nan, 1.0], 1), (8, [inf, 1.0], 1), (9, [None, 1.0], 1), (10, [1e-30, 0.0], 1),
-        (11, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.0], 1),
+        (11, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.0], 1), (None, [0.0, 1.0], 1), (None, [0.0, 1.0], 2), (12, [1.0] * 20_000, 1),
+        (13, [1.0] * 20_000, 1),
     ]
     got = embeddings.near_duplicates(spark.createDataFrame([(*r, "x") for r in rows], VECTORS)).collect()
     assert len(got) == len(rows)
-    assert {(r.vec_id, r.n_links, r.component_id) for r in got if r.vec_id in (1, 2, 10)} == {(1, 3, 1), (2, 3, 1), (10, 3, 1)}
-    assert all(r.n_links == 0 and r.component_id == r.vec_id for r in got if r.vec_id not in (1, 2, 10))
+    # Label and vector decide who links; a null id is no reason not to.
+    linked = {(1, 4, 1, True), (2, 4, 1, False), (10, 4, 1, False), (None, 4, 1, False), (12, 1, 12, True), (13, 1, 12, False)}
+    assert {tuple(r) for r in got if r.n_links} == linked and sum(r.vec_id == 2 for r in got) == 2
+    assert all(r.component_id == r.vec_id and r.kept for r in got if not r.n_links)
+    assert sum(r.vec_id is None for r in got if not r.n_links) == 2
     assert embeddings.near_duplicates(spark.createDataFrame([], VECTORS)).collect() == []
 
 
@@ -184,8 +189,36 @@ def test_leaks_odd_cases_and_blocks(spark, odd, none, docs_of):
     assert decontaminate.find_leaks(odd, items).collect() == []
     assert decontaminate.find_leaks(none, items).collect() == [] and decontaminate.find_leaks(odd, empty).collect() == []
     docs = docs_of([(n, " ".join(words(n, 20))) for n in range(12)])
-    got = decontaminate.find_leaks(docs, items, block=5).collect()
-    assert sorted((r.doc_id, r.item_id) for r in got) == [(n, n) for n in range(12)]
+    for cut in ({"block": 5}, {"block": 5, "group": 7}):
+        got = decontaminate.find_leaks(docs, items, **cut).collect()
+        assert sorted((r.doc_id, r.item_id) for r in got) == [(n, n) for n in range(12)]
+
+
+def test_paraphrases_of_several_strengths_are_found(spark, docs_of, monkeypatch):
+    """Items with a tenth to a third of their words replaced, dropped or moved, the answer kept, inside other text."""
+    monkeypatch.setattr(decontaminate, "WINDOWS", 3)
+    common = words(500, 60)
+    draw = random.Random(8)
+    some = lambda n, count: [w if draw.random() < 0.6 else draw.choice(common) for w in words(n, count)]
+    items = [(n, " ".join(some(n, 40)) + ". So it is " + " ".join(words(900 + n, 6)), "x") for n in range(200)]
+
+    def reworded(text, share):
+        body, answer = text.split(". ")
+        out = []
+        for w in body.split():
+            kind = draw.random()
+            out += [w] if kind > share else ["other" + w] if kind > share / 2 else [] if kind > share / 4 else [w, draw.choice(common)]
+        return " ".join(out) + ". " + answer
+
+    docs = [
+        (n, " ".join([*some(2000 + n, draw.randrange(400)), reworded(text, (0.1, 0.2, 0.3, 0.35)[n % 4]), *some(4000 + n, draw.randrange(300))]))
+        for n, text, _ in items
+    ]
+    clean = [(1000 + n, " ".join(some(6000 + n, 300))) for n in range(200)]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs_of(docs + clean), spark.createDataFrame(items, BENCHMARK)).collect()}
+    for strength in range(4):
+        assert sum((n, n) in got for n in range(strength, 200, 4)) >= 45, strength
+    assert got <= {(n, n) for n in range(200)}
 
 
 def test_common_subsequence():
@@ -250,3 +283,48 @@ def test_warc_files_can_be_cut_by_their_lengths(spark, tiny, tmp_path):
             assert head.startswith(b"WARC/1.1\r\n") and rest[size : size + 4] == b"\r\n\r\n"
             data, seen = rest[size + 4 :], seen + 1
     assert seen == records.count() == 3 * spark.read.parquet(f"{tiny}/pages.parquet").count()
+
+
+def test_warc_time_is_in_proportion_to_the_page(spark):
+    size = 1_000_000
+    openings = ("<!-- ", "<a ", "<script ", "<script>", "<style>x", "<p ", "<title", "<title>", "<html ", '<a href="', '<a href="x" ', "&", "< ", " \n")
+    pages = [(n, "http://a/", o * (size // len(o))) for n, o in enumerate(openings)]
+    begun = time.monotonic()
+    rows = warc.build_derivatives(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert len(rows) == 3 * len(pages) and time.monotonic() - begun < 60
+    # What is not closed hides the rest of the page.
+    assert {r.block for r in rows if r.record_type == "conversion" and r.page_id in (0, 2, 3, 4)} == {""}
+
+
+def test_warc_references_headers_and_repeated_rows(spark):
+    html = (
+        '<HTML lang="e\nn"><title>T</title><script>if (a<b) "<!--"</script>seen &#233;&eacute;&#xE9; &mdash; &lt;b&gt; &amp;lt; &#xD800;'
+        '<style>s</style ><!-- <script> -->after<a class=x href="/y\r\nWARC-Type: z">l</a><a name="n">m</a><script>never'
+    )
+    pages = spark.createDataFrame([(1, "http://a/\r\nWARC-Type: forged\tx", html)] * 2, "page_id long, url string, html string")
+    rows = warc.build_derivatives(pages).collect()
+    assert len({r.record_id for r in rows}) == 6
+    texts = {r.block for r in rows if r.record_type == "conversion"}
+    assert texts == {"T\nseen ééé — <b> &lt; \ufffd afterlm"}
+    for r in rows:
+        assert r.headers.count("\r\nWARC-Type") == 1
+        assert all(": " in line or line == "WARC/1.1" for line in r.headers.removesuffix("\r\n").split("\r\n"))
+        derivative = r.record_type != "response"
+        assert ("WARC-Refers-To-Target-URI: http://a/%0D%0AWARC-Type: forged%09x\r\n" in r.headers) == derivative
+        assert ("WARC-Refers-To-Date: " in r.headers) == ("X-Source-Payload-Digest: sha1:" in r.headers) == derivative
+    meta = next(r.block for r in rows if r.record_type == "metadata")
+    assert meta == "title: T\r\nlanguage: e%0An\r\noutlink: /y%0D%0AWARC-Type: z\r\n"
+
+
+def test_urls_with_very_many_labels_and_many_rules(spark):
+    long = "a." * 500_000 + "example.org"
+    rows = [(1, f"http://{long}/es/1"), (1, f"http://{long}/es/1"), (2, "http://" + "b" * 1_000_000 + "/x"), (None, "https://example.org/"), (3, f"http://x/{'p' * 1_000_000}")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    rules = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("www.example.org", "", "block"), ("x", "/" + "p" * 50, "block")]
+    begun = time.monotonic()
+    for few in (10_000, 1):  # the second way, with rules in several copies
+        found = urls.filter_urls(pages, spark.createDataFrame(rules, "host string, path string, action string"), few_rules=few)
+        got = sorted(((r.page_id, r.rule and r.rule[:20], r.verdict) for r in found.collect()), key=repr)
+        block = (1, "example.org/es/", "block")
+        assert got == sorted([block, block, (2, None, "allow"), (None, "org/", "allow"), (3, "x/" + "p" * 18, "block")], key=repr)
+    assert time.monotonic() - begun < 60
