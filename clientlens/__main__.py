@@ -16,7 +16,7 @@ from .schemas import ENTITIES
 from .sources import envelope
 from .sources.layers import Layers
 from .streaming import ingest as streams
-from .workspace import session
+from .workspace import drop_scratch, session
 
 log = logging.getLogger("clientlens")
 
@@ -35,6 +35,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--files", help="folder of input files (publish)")
     parser.add_argument("--suffix", default="csv", choices=("csv", "parquet"), help="kind of input files")
     parser.add_argument("--multi-line", action="store_true", help="CSV cells may hold line breaks")
+    parser.add_argument("--fixed-offsets", action="store_true", help="a repeated run reads the messages of its first start")
     parser.add_argument("--compact", action="store_true", help="merge the month's marts at the end of a run")
     return parser.parse_args(argv)
 
@@ -82,13 +83,16 @@ def main(argv: list[str] | None = None) -> int:
         "report": lambda: pipeline.report_layer(spark, layers, args.date),
         "compact": lambda: pipeline.compact_layer(spark, layers, month),
         "run": lambda: pipeline.run_pipeline(
-            spark, messages_of, args.root, args.date, None, month if args.compact else None, entities, True
+            spark, messages_of, args.root, args.date, None, month if args.compact else None, entities, True, args.fixed_offsets
         ),
         "increment": lambda: pipeline.run_incremental(
             spark, stream_of, args.root, args.date, None, month if args.compact else None, entities, True
         ),
     }
-    lines = stages[args.stage]()
+    try:
+        lines = stages[args.stage]()
+    finally:
+        drop_scratch(spark)
     report = pipeline.load_report(spark, lines)
     report.show(len(lines), truncate=False)
     pipeline.load_totals(report).show(truncate=False)

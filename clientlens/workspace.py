@@ -44,6 +44,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{warehouse}/_staged"
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/clientlens/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/clientlens/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses, below a folder of this application."""
+    return f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application has staged; results that still read from it are gone then."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
