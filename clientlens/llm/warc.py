@@ -11,8 +11,8 @@ closed, so their time is in proportion to the page. Character references are dec
 them, in Arrow batches; everything else is DataFrame functions.
 
 Cases: a null page body is an empty one; a null URL leaves the target URI out; a null id is written as an
-empty one; control characters of a URL, a link or a language are percent-encoded in headers and fields, so they
-cannot begin a line; an empty table gives no records; other columns are not looked at.
+empty one; line ends and tabs of a URL, a link or a language are percent-encoded in headers and fields and other
+control characters dropped, so no value can begin a line; an empty table gives no records; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -78,11 +78,11 @@ def decoded(texts: pd.Series) -> pd.Series:
 
 
 def safe(value: Column) -> Column:
-    """Control characters percent-encoded."""
+    """A value that cannot begin a line: line ends and tabs percent-encoded, other control characters dropped."""
     out = value
-    for code in (*range(32), 127):
+    for code in (9, 10, 13):
         out = F.replace(out, F.lit(chr(code)), F.lit(f"%{code:02X}"))
-    return F.when(value.rlike(r"[\x00-\x1f\x7f]"), out).otherwise(value)
+    return F.regexp_replace(out, r"[\x00-\x1f\x7f]+", "")
 
 
 def _record(kind: str, own_id: Column, refers_to: Column, content_type: str, block: Column) -> Column:
@@ -103,7 +103,8 @@ def build_derivatives(
     """Three records of every page: (id, record_type, record_id, refers_to, target_uri, content_type,
     content_length, block_digest, payload_digest, source_digest, source_headers, headers, block)."""
     page = pages.select(
-        F.col(id_col).alias("id"), F.col(url_col).alias("uri"), F.coalesce(F.col(html_col), F.lit("")).alias("html")
+        F.col(id_col).alias("id"), F.col(url_col).alias("uri"), F.coalesce(F.col(html_col), F.lit("")).alias("html"),
+        safe(F.col(url_col)).alias("safe_uri"),
     )
     page = page.select(
         "*",
@@ -137,7 +138,7 @@ def build_derivatives(
             tidied(F.col("text")),
         ),
     )
-    records = page.select("id", "uri", "source_digest", "source_headers", F.inline(kinds)).select(
+    records = page.select("id", "uri", "safe_uri", "source_digest", "source_headers", F.inline(kinds)).select(
         "*",
         F.octet_length("block").cast("long").alias("content_length"),
         base32_sha1(F.col("block")).alias("block_digest"),
@@ -153,9 +154,9 @@ def build_derivatives(
         line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", F.col("record_id")),
         line("WARC-Date", F.lit(date)),
-        line("WARC-Target-URI", safe(F.col("uri"))),
+        line("WARC-Target-URI", F.col("safe_uri")),
         line("WARC-Refers-To", F.col("refers_to")),
-        line("WARC-Refers-To-Target-URI", F.when(derivative, safe(F.col("uri")))),
+        line("WARC-Refers-To-Target-URI", F.when(derivative, F.col("safe_uri"))),
         line("WARC-Refers-To-Date", F.when(derivative, F.lit(date))),
         line("X-Source-Payload-Digest", F.when(derivative, F.col("source_digest"))),
         line("WARC-Block-Digest", F.col("block_digest")),
