@@ -69,6 +69,20 @@ def binned(df: DataFrame, keys: list[str], rows: int, bytes_each: float) -> Data
     return df.withColumn("bin", F.pmod(F.xxhash64(*keys), F.lit(bins)))
 
 
+_kept: dict = {}
+
+
+def kept(key: object, make: Callable):
+    """What `make` gives, kept in this Python worker from task to task until another operator keeps something.
+
+    A worker that serves several operators in turn so holds the memory of one of them at a time.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 class Memo(dict):
     """Values of a function by its argument, a text; forgotten all at once when more than `most` are held or their
     arguments have over `letters` letters. Values of arguments of over `long` letters are not held."""

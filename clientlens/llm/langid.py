@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
-from clientlens.llm.common import drawn, slices, staged
+from clientlens.llm.common import drawn, kept, slices, staged
 
 WORD = 40
 # Marks the beginning of a word in the vocabulary (fixed value).
@@ -230,7 +230,7 @@ class Scorer:
     over `long` letters are not remembered.
     """
 
-    def __init__(self, model: Model, most: int = 400_000, letters: int = 8_000_000, long: int = 200) -> None:
+    def __init__(self, model: Model, most: int = 200_000, letters: int = 4_000_000, long: int = 200) -> None:
         self.model, self.most, self.letters, self.long = model, most, letters, long
         self.older: dict[str, bytes] = {}
         self.younger: dict[str, bytes] = {}
@@ -277,16 +277,10 @@ class Scorer:
         return out
 
 
-_scorers: dict[bytes, Scorer] = {}
-
-
 def _scorer(model: Model) -> Scorer:
     """The scorer of a model in this Python worker: its memory lasts from task to task."""
     mark = repr(model.languages).encode() + hashlib.sha256(model.weights.tobytes()).digest()
-    if mark not in _scorers:
-        _scorers.clear()
-        _scorers[mark] = Scorer(model)
-    return _scorers[mark]
+    return kept(("language", mark), lambda: Scorer(model))
 
 
 def identify(
@@ -308,7 +302,7 @@ def identify(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 6_000_000):
             sums = scorer.sums(batch.column("text"))
             words, logs = sums[:, -1], sums[:, :-1]
             known = (words > 0) & bool(model.languages)

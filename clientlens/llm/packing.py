@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from clientlens.llm.common import Memo, slices, staged
+from clientlens.llm.common import Memo, kept, slices, staged
 
 # What the vocabulary's own pre-tokenizer keeps, for lower-cased text of the Latin letters below (fixed value).
 LATIN = "a-zß-öø-ÿ"
@@ -85,9 +85,6 @@ def encoder(path: str, most: int = 600_000) -> Callable[[str], np.ndarray]:
     return ids
 
 
-_encoders: dict[str, Callable] = {}
-
-
 class Windows:
     """Open windows of one partition. `emit(pieces)` gets the pieces (document, start, ids) of each closed one."""
 
@@ -145,6 +142,10 @@ def pack_documents(
         + [T.StructField("ids", T.BinaryType()), T.StructField("part", T.LongType())]
     )
 
+    # Leftovers travel to the merge in as few bytes as the vocabulary allows.
+    known = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1)
+    width = "<u2" if known <= 1 << 16 else "<u4"
+
     def rows_of(pieces: list, sequence: int) -> Iterator[tuple]:
         offset = 0
         for (key, tokens), start, ids in pieces:
@@ -160,9 +161,8 @@ def pack_documents(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        if tokenizer_path not in _encoders:
-            _encoders[tokenizer_path] = encoder(tokenizer_path)
-        encode, rows, made, key_type = _encoders[tokenizer_path], [], 0, None
+        encode = kept(("tokenizer", tokenizer_path), lambda: encoder(tokenizer_path))
+        rows, made, key_type = [], 0, None
 
         def emit(pieces: list) -> None:
             nonlocal made
@@ -180,7 +180,7 @@ def pack_documents(
             rows.clear()
         for _, pieces in windows.open:
             for (key, tokens), start, ids in pieces:
-                rows.append((key, start, len(ids), None, tokens, None, None, ids.tobytes(), part))
+                rows.append((key, start, len(ids), None, tokens, None, None, ids.astype(width).tobytes(), part))
         if rows:
             yield batch_of(rows, key_type)
 
@@ -190,7 +190,7 @@ def pack_documents(
         windows = Windows(capacity, 1, 1, lambda p: rows.extend(rows_of(p, MERGED + (group << 32) + len(rows))))
         columns = (table.column(c).to_pylist() for c in ("id", "doc_tokens", "start", "ids"))
         for key, tokens, start, ids in zip(*columns):
-            windows.put((key, tokens), start, np.frombuffer(ids, dtype=np.uint32))
+            windows.put((key, tokens), start, np.frombuffer(ids, dtype=width).astype(np.uint32))
         for window in list(windows.open):
             windows.close(window)
         return pa.Table.from_batches([batch_of(rows, table.schema.field("id").type)])
