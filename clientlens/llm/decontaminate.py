@@ -6,8 +6,8 @@ whose cosine with an item is high enough is a candidate. A candidate is confirme
 longest common subsequence with the item must cover most of the item, or a good part of it together with
 most of the item's answer (its own column, else its last sentence), which catches paraphrases.
 
-Document frequencies count all documents and every passage is searched. Only the directions of the latent
-spaces come from a sample of about `fit_rows` documents, chosen by hash, with the items. The benchmark is the stated query set.
+Document frequencies count all documents, the directions of the latent spaces come from all passages and items, and
+every passage is searched; nothing is sampled. The benchmark is the stated query set.
 The corpus is numbered and searched once for every group of about `group` items; a group has a latent space for
 each `block` of its items, so what a task holds does not grow with the benchmark.
 
@@ -29,12 +29,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from clientlens.llm.common import drawn, slices, staged
+from clientlens.llm.common import release, slices, staged
 
 # What a word is, and what stands between words where texts are split as a column.
 WORDS, NO_WORD = re.compile(r"[^\W_]+"), r"[^\pL\pN]+"
 SENTENCE_END = re.compile(r"[.!?]\s+|\n+")
-SLAB = 512
+# Rows of the terms' directions that are added up at a time.
+SLAB = 64
+# Bytes of texts and of term numbers that a task works on at a time (one text may be longer).
+TEXT_BYTES, TERM_BYTES = 2_000_000, 100_000
 # Windows of a text that meet all items of a block at a time.
 WINDOWS = 4096
 
@@ -112,50 +115,117 @@ def gram_times(terms: list[np.ndarray], idf: np.ndarray, basis: np.ndarray) -> n
     return out
 
 
-def latent_space(sample: DataFrame, items: list[Item], idf: np.ndarray, *, span: int, rank: int, rounds: int = 2) -> np.ndarray:
-    """Term directions [term, rank] of the passages of the sample and the items together.
+def halves_of(documents: list[np.ndarray], idf: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The passages of some documents as halves of windows: half and term of each informative word, factors, windows.
 
-    Items weigh as much as all passages of the sample. `sample` has the column terms (packed numbers).
+    A window is a half and the one behind it, and its factor, one over the length of its TF-IDF row, stands at the
+    first. The last half of a document begins no window; its factor is 0.
+    """
+    lengths = np.array([len(d) for d in documents], dtype=np.int64)
+    first = np.r_[0, np.cumsum(lengths)]
+    half = span // 2
+    counts = np.maximum(-(-(lengths - half) // half), 1)  # windows, as `windows` gives them
+    slot = np.r_[0, np.cumsum(counts + 1)]
+    terms = np.concatenate([*documents, np.zeros(0, np.uint32)]).astype(np.int64)
+    at = np.flatnonzero(idf[terms] > 0)
+    owner = np.searchsorted(first, at, side="right") - 1
+    place = (at - first[owner]) // half
+    halves, terms = slot[owner] + place, terms[at]
+    # A word is in the window of its half, if there is one, and in that before.
+    begins, follows = place < counts[owner], place > 0
+    wide = len(idf)
+    keys = np.r_[halves[begins] * wide + terms[begins], (halves[follows] - 1) * wide + terms[follows]]
+    keys, times = np.unique(keys, return_counts=True)
+    row, term = np.divmod(keys, wide)
+    squares = np.bincount(row, weights=(times * idf[term]) ** 2, minlength=int(slot[-1]))
+    factors = np.divide(1, np.sqrt(squares), out=np.zeros(len(squares)), where=squares > 0)
+    return halves, terms, factors, int(counts.sum())
+
+
+def row_sums(rows: np.ndarray, index: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of rows[index] over the runs that begin at `first`, longest run first, and the order of the runs.
+
+    All runs take a step at a time, which for short runs of wide rows is several times as fast as np.add.reduceat.
+    """
+    sizes = np.diff(np.r_[first, len(index)])
+    order = np.argsort(-sizes, kind="stable")
+    starts, sizes = first[order], sizes[order]
+    sums = rows[index[starts]]
+    for step in range(1, int(sizes[0])):
+        left = int(np.searchsorted(-sizes, -step))
+        sums[:left] += rows[index[starts[:left] + step]]
+    return sums, order
+
+
+def add_gram(total: np.ndarray, weighted: np.ndarray, halves: np.ndarray, terms: np.ndarray, factors: np.ndarray) -> None:
+    """Add A'A X to `total`, before its rows are weighted, for passages as `halves_of` gives them; `weighted` is X by the terms' weights."""
+    if not len(terms):
+        return
+    sums = np.zeros((len(factors) + 1, total.shape[1]), dtype=np.float32)
+    first = np.flatnonzero(np.r_[True, halves[1:] != halves[:-1]])
+    found, runs = row_sums(weighted, terms, first)
+    sums[halves[first[runs]]] = found
+    product = (sums[:-1] + sums[1:]) * (factors.astype(np.float32) ** 2)[:, None]
+    product[1:] += product[:-1].copy()
+    order = np.argsort(terms, kind="stable")
+    term = terms[order]
+    first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+    found, runs = row_sums(product, halves[order], first)
+    total[term[first[runs]]] += found
+
+
+def latent_space(numbered: DataFrame, items: list[Item], idf: np.ndarray, *, span: int, rank: int, rounds: int = 2) -> np.ndarray:
+    """Term directions [term, rank] of the passages of all documents and the items together.
+
+    Items weigh as much as all passages. `numbered` has the column terms (packed numbers).
     """
     rank = min(rank, len(idf))
     queries = [np.array(i.terms) for i in items]
 
-    def gram(basis: np.ndarray) -> np.ndarray:
-        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, passages = np.zeros(basis.shape, dtype=np.float32), 0
-            for batch in slices(batches, "terms"):
-                for packed in batch.column("terms").to_pylist():
-                    numbers = np.frombuffer(packed, dtype="<u4")
-                    parts = [numbers[a:b] for a, b in windows(len(numbers), span)]
-                    total += gram_times(parts, idf, basis)
-                    passages += len(parts)
-            slabs = [total[i : i + SLAB].tobytes() for i in range(0, len(total), SLAB)]
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "terms", TERM_BYTES):
+            halves, terms, factors, count = halves_of([np.frombuffer(p, dtype="<u4") for p in batch.column("terms").to_pylist()], idf, span)
+            packed = [halves.astype("<u4"), terms.astype("<u4"), factors.astype("<f4")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(slabs)), pa.int64()), pa.array([passages] * len(slabs), pa.int64()), pa.array(slabs, pa.binary())],
-                ["slab", "passages", "part"],
+                [*[pa.array([p.tobytes()], pa.binary()) for p in packed], pa.array([count], pa.int64())], ["halves", "terms", "factors", "passages"]
             )
 
-        def add(table: pa.Table) -> pa.Table:
-            parts = [np.frombuffer(p, dtype=np.float32) for p in table.column("part").to_pylist()]
-            whole = np.sum(parts, axis=0, dtype=np.float32).tobytes()
-            return pa.table(
-                [table.column("slab")[:1], pa.array([pc.sum(table.column("passages")).as_py()], pa.int64()), pa.array([whole], pa.binary())],
-                names=["slab", "passages", "part"],
-            )
+    passages = staged(numbered.select("terms").mapInArrow(split, "halves binary, terms binary, factors binary, passages long"), "passages")
+    count = passages.agg(F.sum("passages")).first()[0] or 0
 
-        schema = "slab long, passages long, part binary"
-        slabs = sample.mapInArrow(partial, schema).groupBy("slab").applyInArrow(add, schema).collect()
+    def gram(basis: np.ndarray) -> np.ndarray:
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, weighted = np.zeros(basis.shape, dtype=np.float32), (basis * idf[:, None]).astype(np.float32)
+            for batch in batches:
+                for halves, terms, factors in zip(*(batch.column(c) for c in ("halves", "terms", "factors"))):
+                    halves, terms = (np.frombuffer(c.as_buffer(), dtype="<u4").astype(np.int64) for c in (halves, terms))
+                    add_gram(total, weighted, halves, terms, np.frombuffer(factors.as_buffer(), dtype="<f4"))
+            total *= idf[:, None].astype(np.float32)
+            for i in range(0, len(total), SLAB):
+                part = total[i : i + SLAB]
+                if part.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([i // SLAB], pa.int64()), pa.array([part.tobytes()], pa.binary())], ["slab", "part"])
+
+        def add(table: pa.Table) -> pa.Table:
+            whole = np.zeros(0, dtype=np.float32)
+            for part in table.column("part"):
+                part = np.frombuffer(part.as_buffer(), dtype=np.float32)
+                whole = whole + part if len(whole) else part
+            return pa.table([table.column("slab")[:1], pa.array([whole.tobytes()], pa.binary())], names=["slab", "part"])
+
+        schema = "slab long, part binary"
+        slabs = passages.select("halves", "terms", "factors").mapInArrow(partial, schema).groupBy("slab").applyInArrow(add, schema).collect()
         out = np.zeros(basis.shape, dtype=np.float32)
-        for slab, _, part in slabs:
+        for slab, part in slabs:
             out[slab * SLAB : (slab + 1) * SLAB] = np.frombuffer(part, dtype=np.float32).reshape(-1, basis.shape[1])
-        passages = max([p for _, p, _ in slabs], default=0)
-        return out + gram_times(queries, idf, basis) * np.float32(max(passages, 1) / len(queries))
+        return out + gram_times(queries, idf, basis) * np.float32(max(count, 1) / len(queries))
 
     size = min(rank + 16, len(idf))
     basis = np.random.default_rng(3).standard_normal((len(idf), size)).astype(np.float32)
     for _ in range(rounds):
         basis = np.linalg.qr(gram(basis))[0].astype(np.float32)
     small = basis.T @ gram(basis)
+    release(passages)
     _, vectors = np.linalg.eigh((small + small.T) / 2)
     return basis @ vectors[:, ::-1][:, :rank].astype(np.float32)
 
@@ -209,7 +279,6 @@ def find_leaks(
     paraphrased: float = 0.55,
     answered: float = 0.6,
     common_share: float = 0.1,
-    fit_rows: int = 1000,
     block: int = 250,
     group: int = 2000,
 ) -> DataFrame:
@@ -240,7 +309,7 @@ def find_leaks(
         if items:
             leaks = _group_leaks(
                 source, items, vocabulary, count, schema, span=span, rank=rank, least_cosine=least_cosine, copied=copied,
-                paraphrased=paraphrased, answered=answered, common_share=common_share, fit_rows=fit_rows, block=block,
+                paraphrased=paraphrased, answered=answered, common_share=common_share, block=block,
             )
             found = found.unionByName(leaks)
     best = F.max(F.struct("lcs_share", "answer_share", "cosine")).alias("best")
@@ -252,14 +321,14 @@ def find_leaks(
 
 def _group_leaks(
     source: DataFrame, items: list[Item], vocabulary: dict[str, int], count: int, schema: T.StructType, *, span: int, rank: int,
-    least_cosine: float, copied: float, paraphrased: float, answered: float, common_share: float, fit_rows: int, block: int,
+    least_cosine: float, copied: float, paraphrased: float, answered: float, common_share: float, block: int,
 ) -> DataFrame:
     kind = source.schema["id"].dataType.simpleString()
     words = pa.array(list(vocabulary), pa.string())
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Term numbers of each document's words, 0 for a word that is in no item."""
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(batch.column("text"), "")), NO_WORD)
             flat, owner = lists.flatten(), pc.list_parent_indices(lists)
             full = pc.greater(pc.binary_length(flat), 0)
@@ -295,14 +364,13 @@ def _group_leaks(
     idf[(seen > common_share * count) & ~needed] = 0
     idf[0] = 0
 
-    sample = staged(drawn(numbered.select("terms"), "terms", fit_rows).repartition(4), "fit-passages")
     blocks = []
     for i in range(0, len(items), block):
         # Terms of other blocks carry no weight in the space of this one.
         own = np.zeros(wide, dtype=bool)
         own[np.concatenate([item.terms for item in items[i : i + block]])] = True
         weights = np.where(own, idf, 0)
-        blocks.append((items[i : i + block], weights, latent_space(sample, items[i : i + block], weights, span=span, rank=rank)))
+        blocks.append((items[i : i + block], weights, latent_space(numbered, items[i : i + block], weights, span=span, rank=rank)))
     out_types = [to_arrow_type(f.dataType) for f in schema.fields]
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
