@@ -46,6 +46,7 @@ def start_ingest(
         .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
+        .option("compression", CODEC)
         .partitionBy("processing_date")
         .outputMode("append")
         .trigger(availableNow=True)
