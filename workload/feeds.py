@@ -25,6 +25,12 @@ def dirty(df: DataFrame, entity: Entity) -> DataFrame:
     return df.withColumns({c: spoil(c, rule) for c, rule in entity.cleaning.items()})
 
 
+def with_copies(df: DataFrame, changed: dict[str, Column]) -> DataFrame:
+    """The rows, and one copy of each with other values in some columns; the rows are computed once for both."""
+    row = lambda values: F.struct(*[values.get(c, F.col(c)).alias(c) for c in df.columns])
+    return df.select(F.inline(F.array(row({}), row(changed))))
+
+
 def replayed(df: DataFrame, entity: Entity) -> DataFrame:
     """Base rows and one older version of each: undated, from 1990, or (clients) same date
     and a later name."""
@@ -36,7 +42,7 @@ def replayed(df: DataFrame, entity: Entity) -> DataFrame:
         tie = last == "3"
         changed[entity.newest_by] = F.when(tie, F.col(entity.newest_by)).otherwise(old.cast(kind))
         changed["client_name"] = F.when(tie, F.concat(F.lit("ZZZ "), "client_name")).otherwise(F.col("client_name"))
-    return df.unionByName(df.withColumns(changed))
+    return with_copies(df, changed)
 
 
 # Column made too long in the broken copy of each entity.
@@ -55,13 +61,11 @@ def faulty(df: DataFrame, entity: Entity) -> DataFrame:
     """Base rows and one broken copy of each: without key, or with a value that is too long."""
     lost_key = F.substring(F.col(entity.key), -1, 1).isin(*"01234")
     column = TOO_LONG[entity.name]
-    broken = df.withColumns(
-        {
-            entity.key: F.when(~lost_key, F.col(entity.key)),
-            column: F.when(lost_key, F.col(column)).otherwise("X" * (entity.max_length[column] + 1)),
-        }
-    )
-    return df.unionByName(broken)
+    broken = {
+        entity.key: F.when(~lost_key, F.col(entity.key)),
+        column: F.when(lost_key, F.col(column)).otherwise("X" * (entity.max_length[column] + 1)),
+    }
+    return with_copies(df, broken)
 
 
 # Column whose values are added up.
