@@ -31,21 +31,36 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from clientlens.llm.common import release, slices, staged
 
-# What a word is, and what stands between words where texts are split as a column.
-WORDS, NO_WORD = re.compile(r"[^\W_]+"), r"[^\pL\pN]+"
+# What a word is. Between words of a column stand these characters beyond ASCII, and what the table of bytes turns into blanks.
+WORDS, NO_WORD = re.compile(r"[^\W_]+"), r"[^\pL\pN\x00-\x7f]+"
+BLANKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 SENTENCE_END = re.compile(r"[.!?]\s+|\n+")
 # Rows of the terms' directions that are added up at a time.
 SLAB = 64
 # Bytes of texts and of term numbers that a task works on at a time (one text may be longer).
 TEXT_BYTES, TERM_BYTES = 2_000_000, 100_000
-# Windows of a text that meet all items of a block at a time.
+# Windows of texts that meet all items of a block at a time.
 WINDOWS = 4096
+# Marks of which terms are near which candidates, at a time.
+MARKS = 4_000_000
 
 
 def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
+def split_words(texts: pa.Array) -> pa.Array:
+    """The words of each text, with empty ones among them.
+
+    Splitting by a pattern costs a search for each word. Here a pattern only looks for what stands between words beyond
+    ASCII, and the bytes of the column are translated at once.
+    """
+    texts = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), NO_WORD, " ")
+    _, ends, text = texts.buffers()
+    text = pa.py_buffer((text.to_pybytes() if text else b"").translate(BLANKS))
+    return pc.split_pattern(pa.Array.from_buffers(texts.type, len(texts), [None, ends, text], offset=texts.offset), " ")
+
+
 @dataclass
 class Item:
     """A benchmark item as term numbers, with its bit masks for the subsequence search."""
@@ -234,22 +249,51 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def searcher(items: list[Item], idf: np.ndarray, space: np.ndarray, span: int, least_cosine: float) -> Callable:
-    """Function from a document's term numbers to its candidates (window start, window end, item, cosine)."""
+def spread(first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Range and place of all places of the ranges that begin at `first`."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return owner, np.arange(len(owner)) + (first - np.cumsum(sizes) + sizes)[owner]
+
+
+def searcher(items: list[Item], idf: np.ndarray, space: np.ndarray, span: int, least_cosine: float, least_share: float) -> Callable:
+    """Function from the term numbers of some documents to their candidates (document, window start, item, cosine).
+
+    Windows whose surroundings hold under `least_share` of an item's terms, in any order, are no candidates for it:
+    no common subsequence is longer than that.
+    """
     weighted = (space * idf[:, None]).astype(np.float32)
     informative = idf > 0
     queries = _unit(np.stack([weighted[i.terms].sum(axis=0) for i in items]))
+    sizes = np.array([len(i.terms) for i in items])
+    asked, begins = np.concatenate([i.terms for i in items]), np.cumsum(sizes) - sizes
     half = span // 2
 
-    def search(terms: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        places = np.flatnonzero(informative[terms])
+    def held(flat: np.ndarray, begin: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Share of each item's terms that are in flat[begin:end]."""
+        marks = np.zeros((len(item), len(idf)), dtype=bool)
+        owner, place = spread(begin, end - begin)
+        marks[owner, flat[place]] = True
+        owner, place = spread(begins[item], sizes[item])
+        return np.bincount(owner, weights=marks[owner, asked[place]], minlength=len(item)) / sizes[item]
+
+    def search(documents: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
+        flat = np.concatenate([*documents, np.zeros(0, np.uint32)])
+        edges = np.cumsum([0, *map(len, documents)])
+        places = np.flatnonzero(informative[flat])
         if not len(places):
             return
-        block = places // half
+        # Halves of all documents in one row, with an empty one behind each document.
+        slot = np.r_[0, np.cumsum(-(-np.diff(edges) // half) + 1)]
+        owner = np.searchsorted(edges, places, side="right") - 1
+        block = slot[owner] + (places - edges[owner]) // half
         first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-        halves, present = np.add.reduceat(weighted[terms[places]], first, axis=0), block[first]
+        present = block[first]
+        halves = np.empty((len(first), weighted.shape[1]), dtype=np.float32)
+        sums, order = row_sums(weighted, flat[places], first)
+        halves[order] = sums
         # A window is a half and the one behind it; windows without a term are no candidates.
-        spots = np.union1d(present, np.maximum(present - 1, 0))
+        before = present - (present > slot[owner[first]])
+        spots = np.union1d(present, before)
         for part in np.array_split(spots, -(-len(spots) // WINDOWS)):
             passages = np.zeros((len(part), weighted.shape[1]), dtype=np.float32)
             for wanted in (part, part + 1):
@@ -257,8 +301,16 @@ def searcher(items: list[Item], idf: np.ndarray, space: np.ndarray, span: int, l
                 there = present[at] == wanted
                 passages[there] += halves[at[there]]
             cosines = _unit(passages) @ queries.T
-            for w, q in zip(*np.nonzero(cosines >= least_cosine)):
-                yield int(part[w]) * half, int(part[w]) * half + span, int(q), float(cosines[w, q])
+            window, item = np.nonzero(cosines >= least_cosine)
+            doc = np.searchsorted(slot, part[window], side="right") - 1
+            start = (part[window] - slot[doc]) * half
+            begin = edges[doc] + np.maximum(start - sizes[item], 0)
+            end = np.minimum(edges[doc] + start + span + sizes[item], edges[doc + 1])
+            most = max(1, MARKS // len(idf))
+            for i in range(0, len(item), most):
+                some = np.arange(i, min(i + most, len(item)))
+                some = some[held(flat, begin[some], end[some], item[some]) >= least_share]
+                yield from zip(*(c[some].tolist() for c in (doc, start, item)), cosines[window[some], item[some]].tolist())
 
     return search
 
@@ -329,7 +381,7 @@ def _group_leaks(
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Term numbers of each document's words, 0 for a word that is in no item."""
         for batch in slices(batches, "text", TEXT_BYTES):
-            lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(batch.column("text"), "")), NO_WORD)
+            lists = split_words(batch.column("text"))
             flat, owner = lists.flatten(), pc.list_parent_indices(lists)
             full = pc.greater(pc.binary_length(flat), 0)
             places = pc.index_in(flat.filter(full), value_set=words)
@@ -374,22 +426,22 @@ def _group_leaks(
     out_types = [to_arrow_type(f.dataType) for f in schema.fields]
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searches = [(some, searcher(some, weights, space, span, least_cosine)) for some, weights, space in blocks]
-        for batch in slices(batches, "terms"):
+        least = min(paraphrased, copied)
+        searches = [(some, searcher(some, weights, space, span, least_cosine, least)) for some, weights, space in blocks]
+        for batch in slices(batches, "terms", TERM_BYTES):
             rows = []
-            for key, packed in zip(batch.column("id").to_pylist(), batch.column("terms").to_pylist()):
-                terms = np.frombuffer(packed, dtype="<u4")
-                for start, end, item, cosine in (
-                    (start, end, some[q], cosine) for some, search in searches for start, end, q, cosine in search(terms)
-                ):
-                    reach = terms[max(0, start - len(item.terms)) : end + len(item.terms)]
-                    near = reach[reach > 0].tolist()
-                    share = common_subsequence(item.masks, len(item.terms), near) / len(item.terms)
-                    if share < min(paraphrased, copied):
-                        continue
-                    said = common_subsequence(item.answer_masks, len(item.answer), near) / len(item.answer) if item.answer else 0.0
-                    if share >= copied or said >= answered:
-                        rows.append((key, item.key, cosine, share, said))
+            documents = [np.frombuffer(p, dtype="<u4") for p in batch.column("terms").to_pylist()]
+            for doc, start, item, cosine in (
+                (doc, start, some[q], cosine) for some, search in searches for doc, start, q, cosine in search(documents)
+            ):
+                reach = documents[doc][max(0, start - len(item.terms)) : start + span + len(item.terms)]
+                near = reach[reach > 0].tolist()
+                share = common_subsequence(item.masks, len(item.terms), near) / len(item.terms)
+                if share < least:
+                    continue
+                said = common_subsequence(item.answer_masks, len(item.answer), near) / len(item.answer) if item.answer else 0.0
+                if share >= copied or said >= answered:
+                    rows.append((batch.column("id")[doc].as_py(), item.key, cosine, share, said))
             columns = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=t) for c, t in zip(columns, out_types)], names=["id", "item", "cosine", "lcs_share", "answer_share"]

@@ -8,6 +8,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, difference, duckdb_rows, spark_rows
 from pyspark.sql import functions as F, types as T
@@ -247,6 +248,48 @@ def test_halves_add_up_to_the_gram_matrix_of_all_windows():
     assert np.allclose(total * idf[:, None], decontaminate.gram_times(passages, idf, basis), atol=1e-3)
 
 
+def test_words_of_a_column_are_those_of_its_texts():
+    texts = ["x", None, "", "  ", "Don't a_b__c, 3.14!", "naïve—CAFÉ…x² ½", "日本語、テスト。", "\x00a\tb\nc\x7fd\u00a0e\u2028f", "😀x😀é", "é"]
+    want = [decontaminate.words_of(t or "") for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(texts, kind)
+        for some, words_there in ((column, want), (column.slice(4, 3), want[4:7]), (column.slice(1, 2), want[1:3])):
+            assert [[w for w in ws if w] for ws in decontaminate.split_words(some).to_pylist()] == words_there
+
+
+def test_candidates_of_many_documents_are_those_of_each_window(monkeypatch):
+    """Documents searched together, in small parts, against each window alone; no product is made for each document."""
+    draw = np.random.default_rng(6)
+    items = [decontaminate.Item(q, draw.integers(1, 40, n).tolist(), []) for q, n in enumerate((1, 3, 9, 20))]
+    idf = np.where(np.arange(40) % 3, 1.0 + np.arange(40) / 10, 0)
+    space = draw.standard_normal((40, 6)).astype(np.float32)
+    documents = [draw.integers(0, 40, n).astype("<u4") for n in (3, 0, 8, 1, 17, 60, 5)]
+    documents += [np.zeros(20, "<u4"), np.r_[documents[4], np.zeros(30), items[3].terms].astype("<u4")]
+    unit = lambda v: v / max(np.linalg.norm(v), 1e-12)
+    vector = lambda terms: unit((space * idf[:, None])[np.asarray(terms, dtype=int)].sum(axis=0))
+    want = {}
+    for d, terms in enumerate(documents):
+        for start in range(0, len(terms), 4):
+            if not idf[terms[start : start + 8]].any():
+                continue
+            for q, item in enumerate(items):
+                reach = set(terms[max(0, start - len(item.terms)) : start + 8 + len(item.terms)].tolist())
+                cosine = vector(terms[start : start + 8]) @ vector(item.terms)
+                if cosine >= 0.3 and sum(t in reach for t in item.terms) / len(item.terms) >= 0.5:
+                    want[d, start, q] = cosine
+    made, plain = [], decontaminate._unit
+    monkeypatch.setattr(decontaminate, "_unit", lambda rows: made.append(len(rows)) or plain(rows))
+    for windows, marks in ((4096, 4_000_000), (3, 100)):
+        monkeypatch.setattr(decontaminate, "WINDOWS", windows)
+        monkeypatch.setattr(decontaminate, "MARKS", marks)
+        search = decontaminate.searcher(items, idf, space, 8, 0.3, 0.5)
+        made.clear()
+        got = {(d, start, q): cosine for d, start, q, cosine in search(documents)}
+        assert got.keys() == want.keys() and len(want) > 10 and all(abs(got[k] - want[k]) < 1e-4 for k in want)
+        assert len(made) == -(-sum(made) // windows)
+        assert list(search([])) == [] and list(search([np.zeros(5, "<u4")])) == []
+
+
 def test_common_subsequence():
     draw = random.Random(8)
     for _ in range(50):
