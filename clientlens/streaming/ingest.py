@@ -1,10 +1,10 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import MESSAGE_FILE_DDL, Entity
-from ..sources.envelope import read_messages, topic_folder, with_lineage
+from ..sources.envelope import IS_REJECTED, read_messages, topic_folder, with_lineage
 from ..workspace import CODEC
 
 
@@ -42,13 +42,33 @@ def start_ingest(
     """
     kept, aside = read_messages(messages, entity)
     rows = aside if unreadable else kept
+    return _append(with_lineage(rows, processing_date), target, checkpoint, ["processing_date"])
+
+
+def start_ingest_halves(
+    messages: DataFrame, entity: Entity, target: str, checkpoint: str, processing_date: str
+) -> StreamingQuery:
+    """As `start_ingest`, but every message is parsed once: rows and messages that could not be read, told apart by
+    `rejected`, come from the same pass, and one log counts the files of both."""
+    checked, _ = read_messages(messages, entity, together=True)
+    rejected = F.expr(IS_REJECTED)
+    rows = with_lineage(checked, processing_date).withColumns(
+        {
+            "raw_value": F.when(rejected, F.col("raw_value")),
+            "violations": F.when(rejected, F.col("violations")),
+            "rejected": rejected,
+        }
+    )
+    return _append(rows, target, checkpoint, ["rejected", "processing_date"])
+
+
+def _append(rows: DataFrame, target: str, checkpoint: str, by: list[str]) -> StreamingQuery:
     return (
-        with_lineage(rows, processing_date)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .option("compression", CODEC)
-        .partitionBy("processing_date")
+        .partitionBy(*by)
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
